@@ -111,3 +111,10 @@ def split_packed(df: DataFrame, key: str, text: str, max_range: int = MAX_RANGE)
     texts = df.groupBy(F.col(key).alias("_key")).agg(F.max(text).alias("_text"))
     values = texts.select("_key", F.posexplode(packed_values(F.col("_text"), max_range)).alias("_pos", "_val"))
     return values.select(F.col("_key").alias(key), (F.col("_pos") + 1).cast("int").alias("pos"), F.col("_val").alias("val"))
+
+
+def packed_kind(text: Column) -> Column:
+    """What an address text packs: ``addresses``, ``houses`` or ``units``; null if it holds at most one value."""
+    quoted = F.regexp_replace(F.translate(text, "“”„‟«»‘’", "\"\"\"\"\"\"''"), _SINGLE_QUOTED, '"$1"')
+    several = F.regexp_replace(quoted, _NEXT_ADDRESS, "$1\u0002").contains("\u0002") | (quoted.rlike(r'^\s*"') & quoted.rlike(r'",\s*"'))
+    return F.when(F.size(packed_values(text)) > 0, F.when(several, "addresses").when(quoted.rlike(rf"(?i)^\s*{UNITS}\s"), "units").otherwise("houses"))
