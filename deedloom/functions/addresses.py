@@ -28,17 +28,17 @@ STREET_TYPES = {
 # Building types and their usual abbreviations.
 BUILDING_TYPES = {
     "apartments": ("apts",),
-    "building": ("bld", "bldg"),
+    "building": ("bld", "bldg", "bldng"),
     "court": ("ct", "crt"),
     "hall": ("hl",),
     "house": ("ho", "hse"),
-    "lodge": ("ldg",),
-    "mansions": ("mns",),
+    "lodge": ("ldg", "ldge"),
+    "mansions": ("mans", "mns"),
     "mill": ("ml",),
     "point": ("pt",),
     "tower": ("twr",),
-    "wharf": ("whf",),
-    "works": ("wks",),
+    "wharf": ("wf", "whf"),
+    "works": ("wks", "wrks"),
 }
 
 UNITS = "(?:" + "|".join(f"{w}s?" for w in UNIT_WORDS) + ")"
