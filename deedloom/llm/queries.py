@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deedloom.llm.canonical import OTHER_NAMES, map_to_list
 from deedloom.llm.leaks import leaked_spans, without_leaks
+from deedloom.llm.linkage import business_premises, link_premises, register_premises
 from deedloom.llm.quality import text_kinds, text_statistics, train_kinds
 from deedloom.llm.same_place import same_place_pairs, same_places, title_addresses
 from deedloom.llm.tokens import encode_texts
@@ -36,6 +37,16 @@ def p1_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return none.join(counts, "value").select("value", "n_records")
 
 
+def p2_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The matches of p2_found with their confidence."""
+    links = link_premises(register_premises(table(spark, folder, "ocod")), business_premises(table(spark, folder, "voa_register")))
+    return links.select(F.col("left_id").alias("ocod_id"), F.col("right_id").alias("voa_id"), "confidence")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_links(spark, folder).select("ocod_id", "voa_id")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_place_pairs(title_addresses(table(spark, folder, "ocod")), "title_number").select(F.col("a").alias("title_a"), F.col("b").alias("title_b"))
 
@@ -76,6 +87,8 @@ def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
+    "p2_found": p2_found,
+    "p2_links": p2_links,
     "p4_found": p4_found,
     "p4_places": p4_places,
     "p7_ids": p7_ids,
