@@ -13,8 +13,9 @@ from deedloom.operators.packed import packed_kind
 from deedloom.plans.session import cut
 
 PARTS = ("number", "building", "street", "street_type", "town", "postcode")
-#: A candidate link is pruned if its weight is under this share of the best one's at both of its ends.
-PRUNE = 0.35
+#: A candidate link is pruned if its weight is under this share of the best one's at both of its ends. Two addresses of one
+#: place may share but one of the dozen attributes, and that a common one, so only far lighter links are pruned.
+PRUNE = 0.05
 #: Share of a link's score that comes from its neighbours; the score from which a link is a match.
 NEIGHBOURS, ACCEPT = 0.25, 0.5
 #: Scores are stable if none changes by more than this; rounds after which they are taken as they are (each round halves
@@ -71,7 +72,7 @@ def _attributes(forms: DataFrame) -> DataFrame:
     given: list[tuple[str, Sequence[Column]]] = [
         ("street+number", [street, n]), ("postcode+number", [F.col("postcode"), n]), ("street+building", [street, b]), ("postcode+building", [F.col("postcode"), b]), ("town+building", [F.col("town"), b]),
         ("town+number+start", [F.col("town"), n, start]), ("town+number+end", [F.col("town"), n, end, F.col("street_type")]), ("start+number", [start, F.col("street_type"), n]),
-        ("town+street+name", [F.col("town"), street, F.substring("building", 1, 3)]), ("building+start", [b, start]), ("postcode+street+name", [F.col("postcode"), street, F.substring(F.reverse("building"), 1, 6)]),
+        ("town+street+name", [F.col("town"), street, F.substring("building", 1, 3)]), ("building+start", [b, start]), ("building+number", [b, n]), ("postcode+street+name", [F.col("postcode"), street, F.substring(F.reverse("building"), 1, 6)]),
     ]
     cells = [F.when(F.concat(*cols).isNotNull(), F.concat_ws("\t", F.lit(name), *cols)) for name, cols in given]
     return forms.select("form", F.explode(F.array_compact(F.array(*cells))).alias("attribute"))
