@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 NO_VALUE = ("", "-", "--", "?", ".", "N/A", "NA", "N.A.", "N/K", "NAN", "NIL", "NONE", "NOT KNOWN", "NOT STATED", "NULL", "TBC", "UNCLASSIFIED", "UNKNOWN")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def squeezed(c: Column) -> Column:
     """Upper case without blanks at the ends and with single blanks inside."""
     return F.trim(F.regexp_replace(F.upper(c), r"\s+", " "))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedloom.functions.addresses import POSTCODE, STREETS, STREETS_SHORT, UNITS
+from deedloom.functions.values import let
 
 #: A range of more numbers than this is kept as it is written, as one value (it is a slip, and would fill memory).
 MAX_RANGE = 100_000
@@ -19,6 +20,11 @@ _NEXT_ADDRESS = (
     rf"(?i)(\b{STREETS}\b(?:,\s*[A-Za-z][A-Za-z' .-]{{0,60}}?)?(?:[ ,]+{POSTCODE})?)\s*"
     rf"(?:\band\s+also\b|;\s*and\b|;|\||\n|\t|\band\b(?=\s+(?:(?:{UNITS})\s|(?:no\.?\s*)?[0-9\"])))\s*(?=[A-Za-z0-9\"])"
 )
+#: What a text that packs values must look like at least; most texts don't, and need no closer look.
+_MAY_PACK = (
+    rf"(?is)^\s*(?:[\"“”„‟«»'‘]|(?:{UNITS}\s+)?(?:nos?\.?\s*|numbers?\s+)?(?:[\"“”„‟«»'‘]|[0-9]+[a-z]?\s*(?:[-–—,;&+|(\n\t]|to\b|and\b|odd|even)|[a-z]\s*(?:[,;&+|\n\t]|and\b)))"
+    rf"|[;|\n\t]|\band\s+also\b|\band\s+(?:{UNITS}\s|no\b|[0-9\"])"
+)
 _SINGLE_QUOTED = r"(?<![A-Za-z0-9])'([^'\n]+(?:'[a-z][^'\n]*){0,3})'(?=\s*(?:[,;&+|)\n\t]|$)|\s+(?:and|of|at)\b)"
 _ITEM = rf"(?i)^(?:{UNITS}\s+)?([0-9]+[A-Za-z]?|[A-Za-z])\s*(?:(?:[-–—]|\bto\b)\s*([0-9]+[A-Za-z]?))?\s*(?![0-9A-Za-z]*[0-9])"
 
@@ -62,12 +68,13 @@ def _list_values(body: Column, units: Column, plural: Column, max_range: int) ->
             p["head"].rlike(r",\s*[0-9]+[A-Za-z]?(?:\s*[-–]\s*[0-9]+)?\s*,?\s*$").alias("comma"),
         ))
 
-    done = F.aggregate(pieces, start, step)
-    # A number between the units and a street is the building's, not a unit.
-    street_follows = done["rest"].rlike(rf"(?i)^[A-Za-z][A-Za-z'. -]*?\b{STREETS_SHORT}\s*(?:,|\(|$|{POSTCODE})")
-    house_at_end = units & ~done["rest"].rlike(r"(?i)^(?:of|at)\b") & (street_follows | (~plural & done["comma"]))
-    items = F.when(house_at_end & (F.size(done["items"]) > 0), F.slice(done["items"], 1, F.greatest(F.size(done["items"]) - 1, F.lit(0)))).otherwise(done["items"])
-    return F.flatten(items)
+    def without_house(done: Column) -> Column:
+        # A number between the units and a street is the building's, not a unit.
+        street_follows = done["rest"].rlike(rf"(?i)^[A-Za-z][A-Za-z'. -]*?\b{STREETS_SHORT}\s*(?:,|\(|$|{POSTCODE})")
+        house_at_end = units & ~done["rest"].rlike(r"(?i)^(?:of|at)\b") & (street_follows | (~plural & done["comma"]))
+        return F.flatten(F.when(house_at_end & (F.size(done["items"]) > 0), F.slice(done["items"], 1, F.greatest(F.size(done["items"]) - 1, F.lit(0)))).otherwise(done["items"]))
+
+    return let(F.aggregate(pieces, start, step), without_house)
 
 
 def packed_values(text: Column, max_range: int = MAX_RANGE) -> Column:
@@ -81,24 +88,37 @@ def packed_values(text: Column, max_range: int = MAX_RANGE) -> Column:
     Cases: null, blank and texts of any other form give an empty array. Ranges of ``max_range`` numbers or more are one value,
     as written; falling ranges fall. Values may repeat; each occurrence counts.
     """
-    quoted = F.regexp_replace(F.translate(text, "“”„‟«»‘’", "\"\"\"\"\"\"''"), _SINGLE_QUOTED, '"$1"')
+    none = F.array().cast("array<string>")
+    several = lambda v: F.when(F.size(v) > 1, v).otherwise(none)
+    return F.when(text.rlike(_MAY_PACK), let(let(_straight(text), lambda q: _values_of(q, max_range)), several)).otherwise(none)
+
+
+def _straight(text: Column) -> Column:
+    """The text with all quotes that enclose names as plain double ones."""
+    return F.regexp_replace(F.translate(text, "“”„‟«»‘’", "\"\"\"\"\"\"''"), _SINGLE_QUOTED, '"$1"')
+
+
+def _whole_addresses(quoted: Column) -> Column:
+    """The whole addresses that a text with plain quotes lists; one if it lists none."""
     literals = F.filter(F.split(quoted, '"'), lambda p, i: i % 2 == 1)
     in_quotes = quoted.rlike(r'^\s*"') & (F.size(literals) > 1) & F.forall(literals, lambda p: p.rlike(rf"(?i)\b{STREETS}\b"))
-    whole = F.when(in_quotes, literals).otherwise(F.split(F.regexp_replace(quoted, _NEXT_ADDRESS, "$1\u0002"), "\u0002"))
+    return F.when(in_quotes, literals).otherwise(F.split(F.regexp_replace(quoted, _NEXT_ADDRESS, "$1\u0002"), "\u0002"))
+
+
+def _one_of(address: Column) -> Column:
+    """The unit, else the house number, of a whole address; null if it has neither."""
+    literal = F.regexp_extract(address, rf"(?i)^\s*{UNITS}\s+\"([^\"]+)\"", 1)
+    unit = F.regexp_extract(address, rf"(?i)^\s*{UNITS}\s+([0-9]+[A-Za-z]?|[A-Za-z])\b", 1)
+    house = F.regexp_extract(address, r"(?i)^\s*(?:nos?\.?\s*)?([0-9]+[A-Za-z]?(?:\s*[-–]\s*[0-9]+[A-Za-z]?)?)\b", 1)
+    of_building = F.regexp_extract(address, rf"(?i),\s*([0-9]+[A-Za-z]?(?:\s*[-–]\s*[0-9]+[A-Za-z]?)?),?\s+[A-Za-z'. ]+?\b{STREETS}\b", 1)
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in (literal, unit, house, of_building)])
 
-    def one_of(address: Column) -> Column:
-        literal = F.regexp_extract(address, rf"(?i)^\s*{UNITS}\s+\"([^\"]+)\"", 1)
-        unit = F.regexp_extract(address, rf"(?i)^\s*{UNITS}\s+([0-9]+[A-Za-z]?|[A-Za-z])\b", 1)
-        house = F.regexp_extract(address, r"(?i)^\s*(?:nos?\.?\s*)?([0-9]+[A-Za-z]?(?:\s*[-–]\s*[0-9]+[A-Za-z]?)?)\b", 1)
-        of_building = F.regexp_extract(address, rf"(?i),\s*([0-9]+[A-Za-z]?(?:\s*[-–]\s*[0-9]+[A-Za-z]?)?),?\s+[A-Za-z'. ]+?\b{STREETS}\b", 1)
-        return F.coalesce(*[F.nullif(c, F.lit("")) for c in (literal, unit, house, of_building)])
 
-    lead = rf"(?is)^\s*{UNITS}\s+(?=[\"0-9]|[A-Z]\b)"
-    units = quoted.rlike(lead)
-    plural = quoted.rlike(r"(?i)^\s*[a-z]+s\s")
-    body = F.when(units, F.regexp_replace(quoted, lead, "")).when(quoted.rlike(r"(?i)^\s*(?:nos?\.?\s*|numbers?\s+)?[0-9]"), F.regexp_replace(quoted, r"(?i)^\s*(?:nos?\.?\s*|numbers?\s+)?(?=[0-9])", ""))
-    values = F.when(F.size(whole) > 1, F.filter(F.transform(whole, one_of), lambda v: v.isNotNull())).otherwise(_list_values(body, units, plural, max_range))
-    return F.when(F.size(values) > 1, values).otherwise(F.array().cast("array<string>"))
+def _values_of(quoted: Column, max_range: int) -> Column:
+    lead, number = rf"(?is)^\s*{UNITS}\s+(?=[\"0-9]|[A-Z]\b)", r"(?i)^\s*(?:nos?\.?\s*|numbers?\s+)?(?=[0-9])"
+    units, plural = quoted.rlike(lead), quoted.rlike(r"(?i)^\s*[a-z]+s\s")
+    body = F.when(units, F.regexp_replace(quoted, lead, "")).when(quoted.rlike(number), F.regexp_replace(quoted, number, ""))
+    return let(_whole_addresses(quoted), lambda whole: F.when(F.size(whole) > 1, F.filter(F.transform(whole, _one_of), lambda v: v.isNotNull())).otherwise(_list_values(body, units, plural, max_range)))
 
 
 def split_packed(df: DataFrame, key: str, text: str, max_range: int = MAX_RANGE) -> DataFrame:
@@ -115,6 +135,5 @@ def split_packed(df: DataFrame, key: str, text: str, max_range: int = MAX_RANGE)
 
 def packed_kind(text: Column) -> Column:
     """What an address text packs: ``addresses``, ``houses`` or ``units``; null if it holds at most one value."""
-    quoted = F.regexp_replace(F.translate(text, "“”„‟«»‘’", "\"\"\"\"\"\"''"), _SINGLE_QUOTED, '"$1"')
-    several = F.regexp_replace(quoted, _NEXT_ADDRESS, "$1\u0002").contains("\u0002") | (quoted.rlike(r'^\s*"') & quoted.rlike(r'",\s*"'))
-    return F.when(F.size(packed_values(text)) > 0, F.when(several, "addresses").when(quoted.rlike(rf"(?i)^\s*{UNITS}\s"), "units").otherwise("houses"))
+    kind = lambda q: F.when(F.size(_whole_addresses(q)) > 1, "addresses").when(q.rlike(rf"(?i)^\s*{UNITS}\s"), "units").otherwise("houses")
+    return F.when(F.size(packed_values(text)) > 0, let(_straight(text), kind))
