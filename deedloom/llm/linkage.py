@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,43 +23,55 @@ NEIGHBOURS, ACCEPT = 0.25, 0.5
 STABLE, ROUNDS = 0.005, 6
 
 
+def _parsed(rows: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows (row_id, texts...) with the parts that ``parse`` makes of their texts; equal texts are parsed once.
+
+    The distinct texts are cut off before they are parsed, so that no parsing moves down to the rows.
+    """
+    texts = [c for c in rows.columns if c != "row_id"]
+    keyed = rows.withColumn("text_id", F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("\u0002")) for c in texts])))
+    parsed = cut(parse(cut(keyed.drop("row_id").distinct())))
+    return keyed.select("row_id", "text_id").join(parsed, "text_id").drop("text_id")
+
+
 def register_premises(records: DataFrame) -> DataFrame:
     """Addresses of register records by record: row_id and the PARTS; packed houses or addresses and land nearby have none."""
-    kind = F.coalesce(packed_kind(F.col("property_address")), F.lit("one"))
-    near = F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False))
-    # A title's text is the same in all its records, so it is parsed once for each.
-    texts = records.groupBy("property_address").agg(F.count(F.lit(1)).alias("_n")).select(F.col("property_address").alias("_text"), (near | kind.isin("houses", "addresses")).alias("_out"))
-    street = street_parts(F.col("street_name"))
-    rows = records.select(
-        F.col("ocod_id").alias("row_id"), "property_address", F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name"), F.col("unit_id"))).alias("number"),
-        building_key(F.col("building_name")).alias("building"), street["base"].alias("street"), street["type"].alias("street_type"), F.regexp_replace(plain_words(F.col("city")), " ", "").alias("town"),
-        F.coalesce(compact(F.col("postcode")), compact(F.col("postcode2"))).alias("postcode"),
-    )
-    return rows.join(texts.where("_out").select("_text"), F.col("property_address").eqNullSafe(F.col("_text")), "left_anti").drop("property_address")
+    rows = records.select(F.col("ocod_id").alias("row_id"), "property_address", "street_number", "building_name", "street_name", "city", F.coalesce(compact(F.col("postcode")), compact(F.col("postcode2"))).alias("postcode"))
+
+    def parse(texts: DataFrame) -> DataFrame:
+        kind, near = F.coalesce(packed_kind(F.col("property_address")), F.lit("one")), F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False))
+        staged = texts.where(~near & ~kind.isin("houses", "addresses")).withColumn("s", street_parts(F.col("street_name")))
+        return staged.select(
+            "text_id", F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name"))).alias("number"), building_key(F.col("building_name")).alias("building"),
+            F.col("s.base").alias("street"), F.col("s.type").alias("street_type"), F.regexp_replace(plain_words(F.col("city")), " ", "").alias("town"), "postcode",
+        )
+
+    return _parsed(rows, parse)
 
 
 def business_premises(records: DataFrame) -> DataFrame:
     """Addresses of business entries: row_id and the PARTS, from their number-or-name, street and identifier."""
-    place = F.trim(F.regexp_replace(F.regexp_replace(F.lower("number_or_name"), r"\s+", " "), r"^[\s,]+|[\s,.]+$", ""))
-    for prefix in (FLOORS, BEHIND, PART_AT, BEHIND):
-        place = F.regexp_replace(place, prefix, "")
     number = r"(?:^|[\s,])([0-9]+[a-z]?(?:\s*(?:-|–|/|\bto\b)\s*[0-9]+[a-z]?)?)$"
-    street = street_parts(F.col("street"))
-    # The town stands after the street in the identifier, before the postcode.
-    parts = F.filter(F.transform(F.split(F.lower("full_property_identifier"), ","), lambda x: F.trim(x)), lambda x: x != "")
-    parts = F.filter(parts, lambda x: ~x.rlike(r"^[a-z]{1,2}[0-9][0-9a-z]?\s*[0-9a-z]{3}$"))
-    last = F.element_at(parts, -1)
-    street_first = street_parts(last)
-    town = F.when((F.size(parts) > 1) & ~(street_first["base"].eqNullSafe(street["base"])) & ~plain_words(last).eqNullSafe(plain_words(F.col("street"))), F.regexp_replace(plain_words(last), " ", ""))
-    return records.select("voa_id", "number_or_name", "street", "full_property_identifier", "postcode").distinct().select(
-        F.col("voa_id").alias("row_id"), number_key(F.nullif(F.regexp_extract(place, number, 1), F.lit(""))).alias("number"),
-        building_key(F.regexp_replace(place, number, "")).alias("building"), street["base"].alias("street"), street["type"].alias("street_type"), town.alias("town"), compact(F.col("postcode")).alias("postcode"),
-    )
+
+    def parse(texts: DataFrame) -> DataFrame:
+        place = F.trim(F.regexp_replace(F.regexp_replace(F.lower("number_or_name"), r"\s+", " "), r"^[\s,]+|[\s,.]+$", ""))
+        for prefix in (FLOORS, BEHIND, PART_AT, BEHIND):
+            place = F.regexp_replace(place, prefix, "")
+        # The town stands after the street in the identifier, before the postcode.
+        parts = F.filter(F.transform(F.split(F.lower("full_property_identifier"), ","), lambda x: F.trim(x)), lambda x: (x != "") & ~x.rlike(r"^[a-z]{1,2}[0-9][0-9a-z]?\s*[0-9a-z]{3}$"))
+        staged = texts.withColumns({"place": place, "parts": parts, "s": street_parts(F.col("street"))}).withColumn("last", F.element_at("parts", -1))
+        is_town = (F.size("parts") > 1) & ~plain_words(F.col("last")).eqNullSafe(plain_words(F.col("street"))) & ~street_parts(F.col("last"))["base"].eqNullSafe(F.col("s.base"))
+        return staged.select(
+            "text_id", number_key(F.nullif(F.regexp_extract("place", number, 1), F.lit(""))).alias("number"), building_key(F.regexp_replace("place", number, "")).alias("building"), F.col("s.base").alias("street"), F.col("s.type").alias("street_type"),
+            F.when(is_town, F.regexp_replace(plain_words(F.col("last")), " ", "")).alias("town"), compact(F.col("postcode")).alias("postcode"),
+        )
+
+    return _parsed(records.select(F.col("voa_id").alias("row_id"), "number_or_name", "street", "full_property_identifier", "postcode"), parse)
 
 
 def _forms(rows: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
     """Distinct addresses with an id, and which rows have which."""
-    form_id = F.xxhash64(F.lit(side), *[F.coalesce(F.col(p), F.lit("\u0001")) for p in PARTS])
+    form_id = F.md5(F.concat_ws("\u0001", F.lit(side), *[F.coalesce(F.col(p), F.lit("\u0002")) for p in PARTS]))
     keyed = rows.where(F.col("street").isNotNull() & (F.col("number").isNotNull() | F.col("building").isNotNull())).withColumn("form", form_id)
     return cut(keyed.select("form", *PARTS).distinct()), keyed.select("form", "row_id").distinct()
 

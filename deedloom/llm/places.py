@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from deedloom.functions.addresses import BUILDING_TYPES, STREET_TYPES
+from deedloom.functions.addresses import BUILDING_TYPES, STREET_TYPES, UNITS
+from deedloom.functions.values import let
 
 # What stands before a number or name and says which floor or part is meant.
 FLOORS = r"^(?:(?:pt|part)\s+)?(?:(?:bsmt|basement)\s*(?:&|and)\s*)?(?:(?:gnd|ground|\d+(?:st|nd|rd|th)|lower|upper|bsmt|basement|top)\s+(?:flr|floor)|(?:bsmt|basement))\b[\s,]*"
@@ -24,11 +25,9 @@ def _short_to_full(types: dict[str, tuple[str, ...]]) -> Column:
 def _full_type(word: Column, types: dict[str, tuple[str, ...]]) -> Column:
     """A type word in full: from its abbreviation, or from a slip that fits one type only."""
     letters = lambda c: F.array_sort(F.split(c, ""))
-    near = F.filter(
-        F.array(*map(F.lit, types)),
-        lambda t: (F.levenshtein(word, t) <= F.when(F.length(t) >= 6, 2).otherwise(1)) | (letters(word) == letters(t)),
-    )
-    return F.coalesce(F.try_element_at(_short_to_full(types), word), F.when((F.size(near) == 1) & (F.length(word) > 1), near[0]), word)
+    fits = lambda t: (F.levenshtein(word, t) <= F.when(F.length(t) >= 6, 2).otherwise(1)) | (letters(word) == letters(t))
+    slip = let(F.filter(F.array(*map(F.lit, types)), fits), lambda near: F.when((F.size(near) == 1) & (F.length(word) > 1), near[0]))
+    return F.coalesce(F.try_element_at(_short_to_full(types), word), slip, word)
 
 
 def plain_words(c: Column) -> Column:
@@ -39,20 +38,24 @@ def plain_words(c: Column) -> Column:
 
 def street_parts(c: Column) -> Column:
     """STRUCT<base, type>: a street's name without blanks, and its type in full (null if it is one word)."""
-    words = F.split(plain_words(F.regexp_replace(F.lower(c), r"\(\s*off\s*\)", " ")), " ")
-    last = F.element_at(words, -1)
-    two = F.size(words) > 1
-    return F.struct(
-        F.nullif(F.when(two, F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), "")).otherwise(last), F.lit("")).alias("base"),
-        F.when(two, _full_type(last, STREET_TYPES)).alias("type"),
-    )
+    def parts(words: Column) -> Column:
+        two = F.size(words) > 1
+        return F.struct(
+            F.nullif(F.when(two, F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), "")).otherwise(F.element_at(words, -1)), F.lit("")).alias("base"),
+            F.when(two, let(F.element_at(words, -1), lambda last: _full_type(last, STREET_TYPES))).alias("type"),
+        )
+
+    return let(F.split(plain_words(F.regexp_replace(F.lower(c), r"\(\s*off\s*\)", " ")), " "), parts)
 
 
 def building_key(c: Column) -> Column:
     """A building's name without blanks and leading article, its type in full."""
-    words = F.split(F.regexp_replace(plain_words(c), r"^the ", ""), " ")
-    last = F.element_at(words, -1)
-    return F.nullif(F.when(F.size(words) > 1, F.concat(F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), ""), _full_type(last, BUILDING_TYPES))).otherwise(last), F.lit(""))
+    def key(words: Column) -> Column:
+        last = F.element_at(words, -1)
+        long = F.concat(F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), ""), let(last, lambda w: _full_type(w, BUILDING_TYPES)))
+        return F.nullif(F.when(F.size(words) > 1, long).otherwise(last), F.lit(""))
+
+    return let(F.split(F.regexp_replace(plain_words(c), r"^the ", ""), " "), key)
 
 
 def number_key(c: Column) -> Column:
@@ -61,15 +64,18 @@ def number_key(c: Column) -> Column:
     return F.nullif(F.when(last != "", F.concat(first, F.lit("-"), last)).otherwise(first), F.lit(""))
 
 
-def number_beside(address: Column, street: Column, unit: Column) -> Column:
-    """The house number that stands right before or after the street in an address text, unless it is the unit's."""
-    text = F.regexp_replace(F.lower(address), r"\s+", " ")
-    name = F.trim(F.regexp_replace(F.lower(street), r"\s+", " "))
-    at = F.instr(text, name)
-    before = F.regexp_extract(F.substring(text, F.lit(1), at - 1), rf"({_NUMBER})\s*,?\s*$", 1)
-    after = F.regexp_extract(F.substring(text, at + F.length(name), F.lit(40)), rf"^\s*({_NUMBER})\b(?!\w)", 1)
-    found = number_key(F.when(before != "", before).otherwise(F.nullif(after, F.lit(""))))
-    return F.when((at > 0) & name.isNotNull() & (name != "") & ~found.eqNullSafe(F.lower(F.trim(unit))), found)
+def number_beside(address: Column, street: Column) -> Column:
+    """The house number that stands right before or after the street in an address text; a unit's number is none."""
+    def found(at_text: Column) -> Column:
+        text, name, at = at_text["text"], at_text["name"], at_text["at"]
+        before = F.substring(text, F.lit(1), at - 1)
+        unit = before.rlike(rf"\b{UNITS}\.?\s+[0-9]+[a-z]?\s*,?\s*$")
+        house = F.when(~unit, F.regexp_extract(before, rf"({_NUMBER})\s*,?\s*$", 1)).otherwise("")
+        after = F.regexp_extract(F.substring(text, at + F.length(name), F.lit(40)), rf"^\s*({_NUMBER})\b(?!\w)", 1)
+        return F.when((at > 0) & (name != ""), number_key(F.when(house != "", house).otherwise(F.nullif(after, F.lit("")))))
+
+    text, name = F.regexp_replace(F.lower(address), r"\s+", " "), F.trim(F.regexp_replace(F.lower(street), r"\s+", " "))
+    return let(F.struct(text.alias("text"), name.alias("name"), F.instr(text, name).alias("at")), found)
 
 
 def close(a: Column, b: Column, short: int = 5, long: int = 9) -> Column:

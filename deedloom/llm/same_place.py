@@ -33,7 +33,7 @@ def title_addresses(records: DataFrame) -> DataFrame:
     street = street_parts(F.col("street_name"))
     return one.select(
         "title_number", F.nullif(F.regexp_replace(F.lower("unit_id"), r"[^\p{L}\p{N}]", ""), F.lit("")).alias("unit"),
-        F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name"), F.col("unit_id"))).alias("number"),
+        F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name"))).alias("number"),
         building_key(F.col("building_name")).alias("building"), street["base"].alias("street"), street["type"].alias("street_type"),
         F.regexp_replace(plain_words(F.col("city")), " ", "").alias("town"), plain_words(F.col("district")).alias("district"), compact(F.col("postcode")).alias("postcode"),
     )
@@ -107,7 +107,7 @@ def same_places(addresses: DataFrame, key: str, window: int = WINDOW) -> tuple[D
     Cases: addresses without street, or with neither number nor building, form no links. Null parts agree with what the
     rules for missing parts allow (see _agree); null units are the whole. An address has its own form if it links to none.
     """
-    hashed = F.xxhash64(*[F.coalesce(F.col(p), F.lit("\u0001")) for p in PARTS])
+    hashed = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(p), F.lit("\u0002")) for p in PARTS]))
     keyed = addresses.withColumn("id", hashed)
     forms = cut(keyed.where(F.col("street").isNotNull() & (F.col("number").isNotNull() | F.col("building").isNotNull())).select("id", *PARTS).distinct())
     links = cut(_passes(forms, window))
