@@ -26,23 +26,29 @@ STABLE, ROUNDS = 0.005, 6
 def _parsed(rows: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows (row_id, texts...) with the parts that ``parse`` makes of their texts; equal texts are parsed once.
 
-    The distinct texts are cut off before they are parsed, so that no parsing moves down to the rows.
+    ``parse`` keeps all texts and says in ``_out`` which don't count; these are left out after the cut, as a filter before
+    it would move down to the rows and parse each of them.
     """
     texts = [c for c in rows.columns if c != "row_id"]
-    keyed = rows.withColumn("text_id", F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("\u0002")) for c in texts])))
-    parsed = cut(parse(cut(keyed.drop("row_id").distinct())))
+    keyed = rows.withColumn("text_id", _id_of(*texts))
+    parsed = cut(parse(keyed.drop("row_id").distinct())).where(~F.col("_out")).drop("_out")
     return keyed.select("row_id", "text_id").join(parsed, "text_id").drop("text_id")
 
 
+def _id_of(*columns: str) -> Column:
+    """16 bytes that differ where any of the columns does; null is a value."""
+    return F.unhex(F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("\u0002")) for c in columns])))
+
+
 def register_premises(records: DataFrame) -> DataFrame:
     """Addresses of register records by record: row_id and the PARTS; packed houses or addresses and land nearby have none."""
     rows = records.select(F.col("ocod_id").alias("row_id"), "property_address", "street_number", "building_name", "street_name", "city", F.coalesce(compact(F.col("postcode")), compact(F.col("postcode2"))).alias("postcode"))
 
     def parse(texts: DataFrame) -> DataFrame:
         kind, near = F.coalesce(packed_kind(F.col("property_address")), F.lit("one")), F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False))
-        staged = texts.where(~near & ~kind.isin("houses", "addresses")).withColumn("s", street_parts(F.col("street_name")))
+        staged = texts.withColumn("s", street_parts(F.col("street_name")))
         return staged.select(
-            "text_id", F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name"))).alias("number"), building_key(F.col("building_name")).alias("building"),
+            "text_id", (near | kind.isin("houses", "addresses") | F.col("s.base").isNull()).alias("_out"), F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name"))).alias("number"), building_key(F.col("building_name")).alias("building"),
             F.col("s.base").alias("street"), F.col("s.type").alias("street_type"), F.regexp_replace(plain_words(F.col("city")), " ", "").alias("town"), "postcode",
         )
 
@@ -62,17 +68,16 @@ def business_premises(records: DataFrame) -> DataFrame:
         staged = texts.withColumns({"place": place, "parts": parts, "s": street_parts(F.col("street"))}).withColumn("last", F.element_at("parts", -1))
         is_town = (F.size("parts") > 1) & ~plain_words(F.col("last")).eqNullSafe(plain_words(F.col("street"))) & ~street_parts(F.col("last"))["base"].eqNullSafe(F.col("s.base"))
         return staged.select(
-            "text_id", number_key(F.nullif(F.regexp_extract("place", number, 1), F.lit(""))).alias("number"), building_key(F.regexp_replace("place", number, "")).alias("building"), F.col("s.base").alias("street"), F.col("s.type").alias("street_type"),
+            "text_id", F.col("s.base").isNull().alias("_out"), number_key(F.nullif(F.regexp_extract("place", number, 1), F.lit(""))).alias("number"), building_key(F.regexp_replace("place", number, "")).alias("building"), F.col("s.base").alias("street"), F.col("s.type").alias("street_type"),
             F.when(is_town, F.regexp_replace(plain_words(F.col("last")), " ", "")).alias("town"), compact(F.col("postcode")).alias("postcode"),
         )
 
     return _parsed(records.select(F.col("voa_id").alias("row_id"), "number_or_name", "street", "full_property_identifier", "postcode"), parse)
 
 
-def _forms(rows: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+def _forms(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct addresses with an id, and which rows have which."""
-    form_id = F.md5(F.concat_ws("\u0001", F.lit(side), *[F.coalesce(F.col(p), F.lit("\u0002")) for p in PARTS]))
-    keyed = rows.where(F.col("street").isNotNull() & (F.col("number").isNotNull() | F.col("building").isNotNull())).withColumn("form", form_id)
+    keyed = rows.where(F.col("street").isNotNull() & (F.col("number").isNotNull() | F.col("building").isNotNull())).withColumn("form", _id_of(*PARTS))
     return cut(keyed.select("form", *PARTS).distinct()), keyed.select("form", "row_id").distinct()
 
 
@@ -86,7 +91,8 @@ def _attributes(forms: DataFrame) -> DataFrame:
         ("town+number+start", [F.col("town"), n, start]), ("town+number+end", [F.col("town"), n, end, F.col("street_type")]), ("start+number", [start, F.col("street_type"), n]),
         ("town+street+name", [F.col("town"), street, F.substring("building", 1, 3)]), ("building+start", [b, start]), ("building+number", [b, n]), ("postcode+street+name", [F.col("postcode"), street, F.substring(F.reverse("building"), 1, 6)]),
     ]
-    cells = [F.when(F.concat(*cols).isNotNull(), F.concat_ws("\t", F.lit(name), *cols)) for name, cols in given]
+    # An attribute is its hash: the shuffles carry 8 bytes of it. Two attributes with one hash only make one more candidate.
+    cells = [F.when(F.concat(*cols).isNotNull(), F.xxhash64(F.lit(name), *cols)) for name, cols in given]
     return forms.select("form", F.explode(F.array_compact(F.array(*cells))).alias("attribute"))
 
 
@@ -131,8 +137,10 @@ def _spread(links: DataFrame, neighbours: float, rounds: int) -> DataFrame:
     premises of a street as the other does says that the two are one street. A street pair's score is the share of the
     first street's premises that it links, weighed by their scores; it is summed by street, never listed by pairs of links.
     """
+    # Links are few beside the candidates they come from, which are worked out once.
+    links = cut(links)
     streets = links.select("sa", "a").distinct().groupBy("sa").agg(F.count(F.lit(1)).alias("n"))
-    state = cut(links.join(streets, "sa").withColumn("score", F.col("own")))
+    state = links.join(streets, "sa").withColumn("score", F.col("own"))
     for _ in range(rounds):
         # Of one premise's links to a street pair the best counts.
         best = state.groupBy("sa", "sb", "a", "n").agg(F.max("score").alias("top"))
@@ -163,7 +171,7 @@ def link_premises(left: DataFrame, right: DataFrame, prune: float = PRUNE, neigh
     Scale: everything but the last join works on distinct addresses. Every attribute holds a number or a name, so
     an attribute is shared by few addresses; the result has one row a pair that is asked for.
     """
-    (lf, lrows), (rf, rrows) = _forms(left, "l"), _forms(right, "r")
+    (lf, lrows), (rf, rrows) = _forms(left), _forms(right)
     candidates = _candidates(lf, rf, prune)
     l, r = lf.select(F.col("form").alias("a"), F.struct(*PARTS).alias("l")), rf.select(F.col("form").alias("b"), F.struct(*PARTS).alias("r"))
     # Streets of the right side that the left side has, spelt so, in the same town.
