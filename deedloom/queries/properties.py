@@ -302,3 +302,18 @@ FROM (SELECT DISTINCT * FROM price_paid_transactions)""",
 SELECT ocod_id, CAST(s AS INTEGER) AS start, CAST(CASE WHEN s >= 0 THEN s + length(t) ELSE -1 END AS INTEGER) AS "end", s >= 0 AND lower(substr(property_address, s + 1, length(t))) = lower(t) AS span_valid, s >= 0 AS found FROM p""",
     "missing_columns_filled": f"WITH {_RECORDS} SELECT ocod_id, unit_id, '?' AS unit_type, '?' AS number_filter FROM records",
 }
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All snapshots of the raw register, to one located, classified row a property."""
+    from deedloom.plans.pipeline import run_pipeline
+
+    titles = table(spark, folder, "titles").withColumn("title_number", F.upper(F.trim("title_number")))
+    latest = latest_rows(titles, ["title_number", "snapshot_date"], "loaded_at", ["tenure", "district", "county", "region", "price_paid", "property_address", "country_incorporated"]).where(F.col("property_address").isNotNull())
+    sales = table(spark, folder, "price_paid_transactions").distinct()
+    buildings = building_gazetteer(building_mentions(sales, "transaction_unique_identifier"))
+    lookup = table(spark, folder, "postcode_lookup").select("postcode2", "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
+    return run_pipeline(latest, lookup, businesses(spark, folder), buildings, table(spark, folder, "district_gazetteer"), street_gazetteer(sales), most_expanded=100_000)
+
+
+QUERIES["pipeline"] = pipeline
