@@ -46,7 +46,7 @@ def clean_street_number(c: Column) -> Column:
     x = F.regexp_replace(x, r"\s*-\s*", "-")
     x = F.when(~x.rlike(r"(?i)unit|suite|room"), F.nullif(F.regexp_extract(x, r"([^\s]+)$", 1), F.lit("")))
     x = F.regexp_replace(F.regexp_replace(x, r"[a-zA-Z]", ""), r"^-+|-+$", "")
-    x = stripped(F.regexp_replace(F.regexp_replace(x, r"[\\,/]", " "), r"-{2,}", "-"))
+    x = stripped(F.regexp_replace(F.regexp_replace(x, r"[\\/]", " "), r"-{2,}", "-"))
     return F.when(~x.isin("", "-"), x)
 
 

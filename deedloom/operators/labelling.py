@@ -103,7 +103,8 @@ def without_overlaps(spans: Column) -> Column:
     by_length = F.array_sort(spans, lambda a, b: F.when(a["end"] - a["start"] != b["end"] - b["start"], (b["end"] - b["start"]) - (a["end"] - a["start"])).otherwise(a["ord"] - b["ord"]))
     clear = lambda s, kept: ~F.exists(kept, lambda k: (s["end"] > k["start"]) & (k["end"] > s["start"]))
     kept = F.aggregate(by_length, F.array().cast(SPANS), lambda acc, s: F.when(clear(s, acc), F.concat(acc, F.array(s))).otherwise(acc))
-    in_text = F.array_sort(kept, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["ord"] - b["ord"]))
+    # Of spans with one start all but one are empty; the longer comes first.
+    in_text = F.array_sort(kept, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).when(a["end"] != b["end"], b["end"] - a["end"]).otherwise(a["ord"] - b["ord"]))
     return F.when(F.size(spans) > 1, in_text).otherwise(spans)
 
 

@@ -205,7 +205,7 @@ def _clean(c: str) -> str:
     x = f"regexp_replace({x}, '\\s*-\\s*', '-', 'g')"
     x = f"CASE WHEN NOT regexp_matches({x}, '(?i)unit|suite|room') THEN nullif(regexp_extract({x}, '([^\\s]+)$', 1), '') END"
     x = f"regexp_replace(regexp_replace({x}, '[a-zA-Z]', '', 'g'), '^-+|-+$', '', 'g')"
-    x = f"trim(regexp_replace(regexp_replace({x}, '[\\\\,/]', ' ', 'g'), '-{{2,}}', '-', 'g'))"
+    x = f"trim(regexp_replace(regexp_replace({x}, '[\\\\/]', ' ', 'g'), '-{{2,}}', '-', 'g'))"
     return f"CASE WHEN {x} NOT IN ('', '-') THEN {x} END"
 
 
