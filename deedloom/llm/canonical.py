@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deedloom.plans.session import cut
 from deedloom.plans.sizes import small
 
 #: Weighted cosine from which a candidate is looked at, and from which it needs no check of its letters.
@@ -156,15 +157,18 @@ def map_to_list(values: DataFrame, value: str, entries: DataFrame, entry: str, n
     words = F.split(normal(F.col("name")), " ")
     initials = F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), "")
     more_forms = F.array(normal(F.col("name")), F.element_at(_parts(F.col("name")), -1), F.when(F.length(initials) >= 3, initials))
-    forms = forms.withColumn("form", F.explode(F.array_distinct(F.array_compact(more_forms)))).where(F.col("form") != "").groupBy("entry", "form").agg(F.max("main").alias("main"))
-    asked = distinct.select("value", _parts(F.col("value")).alias("parts"), normal(F.col("value")).alias("whole"))
+    # The forms, the index and the distinct values are read several times below, so they are worked out once.
+    forms = cut(forms.withColumn("form", F.explode(F.array_distinct(F.array_compact(more_forms)))).where(F.col("form") != "").groupBy("entry", "form").agg(F.max("main").alias("main")))
+    asked = cut(distinct.select("value", _parts(F.col("value")).alias("parts")))
+    distinct = asked.select("value")
     by_code = asked.select("value", F.explode("parts").alias("form")).join(small(forms.where(code)), "form").select("value", "entry", F.lit(False).alias("main"), F.lit(1.0).alias("cosine"), F.lit(0.96).alias("letters"))
     # Weight of a gram: the fewer entries have it, the more it says.
     index = forms.where(~code).select("entry", "form", "main", F.explode(_grams(F.col("form"))).alias("gram"))
     total = entries.select(F.countDistinct(entry).alias("total"))
     weights = index.groupBy("gram").agg(F.countDistinct("entry").alias("df")).crossJoin(F.broadcast(total)).select("gram", F.log1p(F.col("total") / F.col("df")).alias("weight"))
     norms = index.join(weights, "gram").groupBy("entry", "form", F.substring("gram", 1, 1).alias("kind")).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("form_norm"))
-    index = index.withColumn("kind", F.substring("gram", 1, 1)).join(weights, "gram").join(norms, ["entry", "form", "kind"])
+    index = cut(index.withColumn("kind", F.substring("gram", 1, 1)).join(weights, "gram").join(norms, ["entry", "form", "kind"]))
+    weights = index.select("gram", "weight").distinct()
     # A gram that no entry has weighs like one that a single entry has.
     unknown = F.log1p(F.lit(1.0) * entries.select(F.col(entry)).distinct().count())
     grams = asked.select("value", F.explode("parts").alias("part")).select("value", "part", F.explode(_grams(F.col("part"))).alias("gram"))
