@@ -78,12 +78,27 @@ _END = re.compile(r"[.!?…][\"'”’»)\]]*$")
 _HTML = re.compile(r"</?[a-zA-Z][^<>]{0,80}>|&[a-z]{2,6};|\{\{.{0,20}?\}\}")
 _MOJIBAKE = re.compile(r"[ÃÂ][\x80-\xbf¡-¿]|�|â€|[¤§¶][a-z]|[a-z][¤§¶]")
 _VOWEL = re.compile(r"[aeiouyàâäéèêëîïôöùûüœæáíóúŵŷåø]", re.I)
-_FURNITURE = re.compile(r"(?i)\b(?:home|about|search|log in|sign in|help|cookies?|terms|privacy|all rights reserved|share|tweet|print|prev|next|back to top|menu|skip to|contact us|subscribe|follow us|login|sitemap)\b|©|«|»")
+# Words, phrases and marks of page furniture.
+_FURNITURE_WORDS = frozenset(("about", "cookie", "cookies", "help", "home", "login", "menu", "next", "prev", "print", "privacy", "search", "share", "sitemap", "subscribe", "terms", "tweet"))
+_FURNITURE_PHRASES = ("all rights reserved", "back to top", "contact us", "follow us", "log in", "sign in", "skip to", "©", "«", "»")
 _SPLIT_RUN = re.compile(r"\s*(?:[;|¦•·•]|\s/\s|,\s)\s*")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)]*\s+")
 _GAP = re.compile(r"\S\s{2,}\S")
 _PARTED = re.compile(r"[\t|¦*]|,(?!\s)")
-_DELIMITERS = (re.compile(r"\t"), re.compile(r"\|"), re.compile(r"¦"), re.compile(r"\*"), re.compile(r",(?!\s)"), re.compile(r";"), re.compile(r"~|\^"))
+_SYMBOL = re.compile(r"[^\w\s]|_")
+#: Marks that may part columns; a comma only where no blank follows.
+_DELIMITERS = "\t|¦*,;~^"
+_COMMA = re.compile(r",(?!\s)")
+
+
+def _furniture(text: str, words: list[str]) -> int:
+    """How many words and phrases of page furniture a text has."""
+    lower = text.lower()
+    return sum(1 for w in words if w.lower() in _FURNITURE_WORDS) + sum(lower.count(p) for p in _FURNITURE_PHRASES)
+
+
+def _marks(line: str, mark: str) -> int:
+    return len(_COMMA.findall(line)) if mark == "," else line.count(mark)
 
 
 def _junk_share(text: str, tokens: list[str], common: frozenset[str]) -> float:
@@ -91,12 +106,13 @@ def _junk_share(text: str, tokens: list[str], common: frozenset[str]) -> float:
     n = len(text)
     if n == 0 or not tokens:
         return 0.0
-    word_chars = sum(map(len, _LETTERS.findall(text)))
-    if len(_MOJIBAKE.findall(text)) * 40 > n:
+    found = _LETTERS.findall(text)
+    word_chars = sum(map(len, found))
+    if not text.isascii() and len(_MOJIBAKE.findall(text)) * 40 > n:
         return 1.0
-    if sum(len(m) for m in _HTML.findall(text)) * 3 > n:
+    if ("<" in text or "&" in text or "{{" in text) and sum(map(len, _HTML.findall(text))) * 3 > n:
         return 1.0
-    symbols = sum(1 for c in text if not c.isalnum() and not c.isspace())
+    symbols = len(_SYMBOL.findall(text))
     if symbols * 5 > 2 * n and word_chars * 3 < n:
         return 1.0
     if len(tokens) >= 8 and sum(1 for t in tokens if len(t) == 1) > 0.7 * len(tokens):
@@ -110,9 +126,11 @@ def _junk_share(text: str, tokens: list[str], common: frozenset[str]) -> float:
     windows = [lower[i : i + 40] for i in range(0, len(lower), 40)]
     if len(tokens) >= 12 and sum(len(set(w)) for w in windows) < 0.3 * len(tokens):
         return 1.0
-    if len(_FURNITURE.findall(text)) >= 5 and len(_FURNITURE.findall(text)) > 0.15 * len(tokens):
-        return 1.0
-    words = [w for w in _LETTERS.findall(text) if len(w) > 1 and (len(w) > 4 or not w.isupper())]
+    if len(tokens) >= 8:
+        furniture = _furniture(text, found)
+        if furniture >= 5 and furniture > 0.15 * len(tokens):
+            return 1.0
+    words = [w for w in found if len(w) > 1 and (len(w) > 4 or not w.isupper())]
     if len(words) >= 8 and sum(1 for w in words if not _VOWEL.search(w)) > 0.5 * len(words):
         return 1.0
     return 0.0
@@ -163,9 +181,11 @@ def line_kinds(text: str, common: frozenset[str]) -> dict[str, float]:
     # Delimiters that several lines hold equally often make a table.
     columns = []
     for d in _DELIMITERS:
-        counts = [0 if s else len(d.findall(x)) for x, s in zip(plain, sentence)]
+        if d not in text:
+            continue
+        counts = [0 if s else _marks(x, d) for x, s in zip(plain, sentence)]
         often = Counter(c for c in counts if c >= 1).most_common(1)
-        if often and often[0][1] >= 3 and (often[0][0] >= 2 or d.pattern in (r"\t", r"\|", "¦")):
+        if often and often[0][1] >= 3 and (often[0][0] >= 2 or d in "\t|¦"):
             columns.append((often[0][0], counts))
     # Short lines that are no sentences, three at least in a row, make a list.
     runs = [False] * len(lines)
@@ -221,13 +241,13 @@ def features(text: str, common: frozenset[str]) -> list[float]:
     told = sum(len(s) for s in sentences if _is_sentence(s, common))
     pairs = list(zip(lower, lower[1:]))
     raw = text.encode("utf-8", "surrogatepass")
-    delimiters = [max((c for k, c in Counter(len(d.findall(x)) for x in lines).items() if k >= 2), default=0) / max(1, len(lines)) for d in _DELIMITERS]
+    delimiters = [max((c for k, c in Counter(_marks(x, d) for x in lines).items() if k >= 2), default=0) / max(1, len(lines)) if d in text else 0.0 for d in _DELIMITERS]
     return [
         *(kinds[k] for k in KINDS), np.log1p(n), np.log1p(len(lines)), float(np.mean(sizes)), float(np.std(sizes)) / (1 + float(np.mean(sizes))), n_words / n_tokens,
         sum(map(len, words)) / n_words, max(map(len, tokens), default=0) / n, sum(len(t) for t in tokens if len(t) >= 25) / n, sum(1 for t in tokens if len(t) == 1) / n_tokens,
-        sum(1 for w in lower if w in common) / n_words, sum(1 for c in text if c.isdigit()) / n, sum(1 for c in text if c.isupper()) / n, sum(1 for c in text if not c.isalnum() and not c.isspace()) / n,
+        sum(1 for w in lower if w in common) / n_words, sum(map(str.isdigit, text)) / n, sum(map(str.isupper, text)) / n, len(_SYMBOL.findall(text)) / n,
         sum(1 for x in lines if _END.search(x)) / max(1, len(lines)), sum(1 for x in lines if _BULLET.match(x)) / max(1, len(lines)), len(set(lower)) / n_words, len(set(pairs)) / max(1, len(pairs)),
-        len(zlib.compress(raw, 1)) / max(1, len(raw)), len(_MOJIBAKE.findall(text)) / n, sum(map(len, _HTML.findall(text))) / n, len(_FURNITURE.findall(text)) / n_tokens,
+        len(zlib.compress(raw, 1)) / max(1, len(raw)), len(_MOJIBAKE.findall(text)) / n, sum(map(len, _HTML.findall(text))) / n, _furniture(text, words) / n_tokens,
         sum(1 for w in words if len(w) > 1 and not _VOWEL.search(w)) / n_words, told / n, len([p for p in _SPLIT_RUN.split(text) if len(p) <= 40]) / n_tokens, sum(map(len, words)) / n, *delimiters,
     ]
 
