@@ -137,3 +137,12 @@ def packed_kind(text: Column) -> Column:
     """What an address text packs: ``addresses``, ``houses`` or ``units``; null if it holds at most one value."""
     kind = lambda q: F.when(F.size(_whole_addresses(q)) > 1, "addresses").when(q.rlike(rf"(?i)^\s*{UNITS}\s"), "units").otherwise("houses")
     return F.when(F.size(packed_values(text)) > 0, let(_straight(text), kind))
+
+
+def packs_places(text: Column) -> Column:
+    """Whether an address text packs several house numbers or whole addresses; lists of units in one building don't count. False for null.
+
+    Unit lists, the longest of the texts, are only looked at for a second address.
+    """
+    places = lambda q: (F.size(_whole_addresses(q)) > 1) | (~q.rlike(rf"(?i)^\s*{UNITS}\s") & (F.size(_values_of(q, MAX_RANGE)) > 1))
+    return F.coalesce(F.when(text.rlike(_MAY_PACK), let(_straight(text), places)), F.lit(False))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from deedloom.functions.values import folded, present
 from deedloom.operators.fill import Gap, Level, fill_missing, missing_fills
-from deedloom.operators.packed import packed_kind, packed_values, split_packed
+from deedloom.operators.packed import packed_kind, packed_values, packs_places, split_packed
 from deedloom.operators.snapshots import latest_rows, snapshot_changes
 from deedloom.plans.sizes import hot_keys, salted_left_join
 
@@ -52,8 +52,9 @@ def test_packed_values(spark):
 
 def test_packed_kinds(spark):
     texts = {"Flats 1, 2, Elm House": "units", "1, 2 Elm Road, T": "houses", "1 Elm Road, T | 2 Fir Road, T": "addresses", "1 Elm Road, T": None, None: None}
-    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed_kind(F.col("t")).alias("k")).collect()
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed_kind(F.col("t")).alias("k"), packs_places(F.col("t")).alias("p")).collect()
     assert {r.t: r.k for r in rows} == texts
+    assert all(r.p == (r.k in ("houses", "addresses")) for r in rows)
 
 
 def test_split_packed_cases(spark):
