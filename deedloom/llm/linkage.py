@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from deedloom.functions.values import compact
 from deedloom.llm.places import BEHIND, FLOORS, NEAR, PART_AT, building_key, close, number_beside, number_key, plain_words, street_parts
-from deedloom.operators.packed import packed_kind
+from deedloom.operators.packed import packs_places
 from deedloom.plans.session import cut
 
 PARTS = ("number", "building", "street", "street_type", "town", "postcode")
@@ -45,11 +45,12 @@ def register_premises(records: DataFrame) -> DataFrame:
     rows = records.select(F.col("ocod_id").alias("row_id"), "property_address", "street_number", "building_name", "street_name", "city", F.coalesce(compact(F.col("postcode")), compact(F.col("postcode2"))).alias("postcode"))
 
     def parse(texts: DataFrame) -> DataFrame:
-        kind, near = F.coalesce(packed_kind(F.col("property_address")), F.lit("one")), F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False))
-        staged = texts.withColumn("s", street_parts(F.col("street_name")))
+        near = F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False)) | F.col("street_name").isNull()
+        staged = texts.withColumn("out", near | packs_places(F.col("property_address"))).withColumn("s", F.when(~F.col("out"), street_parts(F.col("street_name"))))
+        kept = lambda c: F.when(~F.col("out"), c)
         return staged.select(
-            "text_id", (near | kind.isin("houses", "addresses") | F.col("s.base").isNull()).alias("_out"), F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name"))).alias("number"), building_key(F.col("building_name")).alias("building"),
-            F.col("s.base").alias("street"), F.col("s.type").alias("street_type"), F.regexp_replace(plain_words(F.col("city")), " ", "").alias("town"), "postcode",
+            "text_id", (F.col("out") | F.col("s.base").isNull()).alias("_out"), kept(F.coalesce(number_key(F.col("street_number")), number_beside(F.col("property_address"), F.col("street_name")))).alias("number"),
+            kept(building_key(F.col("building_name"))).alias("building"), F.col("s.base").alias("street"), F.col("s.type").alias("street_type"), kept(F.regexp_replace(plain_words(F.col("city")), " ", "")).alias("town"), "postcode",
         )
 
     return _parsed(rows, parse)
