@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deedloom.plans.ordered import numbered
+
 # Fixed value: a range of numbers.
 RANGE = r"\d+[a-z]?\s?(?:to|-|/)\s?\d+[a-z]?\b"
 #: An expansion of more rows than this is flagged.
@@ -64,6 +66,9 @@ def expand_numbers(df: DataFrame, class_col: str = "class", large: int = LARGE,
 
 
 def unique_ids(df: DataFrame, order: list[str | Column], title: str = "title_number") -> DataFrame:
-    """Adds multi_id (position in the title by ``order``, from 1), unique_id (title-position) and is_multi (more than one row)."""
-    by_title = Window.partitionBy(title)
-    return df.withColumn("multi_id", F.row_number().over(by_title.orderBy(*order))).withColumn("unique_id", F.concat_ws("-", title, F.col("multi_id").cast("string"))).withColumn("is_multi", F.count(F.lit(1)).over(by_title) > 1)
+    """Adds multi_id (position in the title by ``order``, ascending, from 1), unique_id (title-position) and is_multi (more than one row).
+
+    A title that holds a good part of all rows is numbered in pieces (see plans/ordered).
+    """
+    columns = [F.col(o) if isinstance(o, str) else o for o in order]
+    return numbered(df, title, columns, "multi_id", "is_multi").withColumn("unique_id", F.concat_ws("-", title, F.col("multi_id").cast("string")))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedloom.functions.text import last_number, street_key
 from deedloom.functions.values import compact
+from deedloom.plans.ordered import filled_forward
 
 AREAS = ("oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
 
@@ -53,8 +54,9 @@ def fill_by_gazetteers(df: DataFrame, buildings: DataFrame, districts: DataFrame
 def forward_fill_in_title(df: DataFrame, order: list[str | Column], columns: tuple[str, ...] = ("oa11cd", "msoa11cd", "lad11cd", "match_prob", "geog_match"), title: str = "title_number") -> DataFrame:
     """Null columns take the value of the nearest row before in their title, rows ordered by geog_match (null last) and ``order``.
 
-    Rows without a title are left as they are. lsoa11cd is not among the columns filled unless asked for.
+    Rows without a title are left as they are. lsoa11cd is not among the columns filled unless asked for. A title that holds
+    a good part of all rows is filled in pieces (see plans/ordered).
     """
-    before = Window.partitionBy(title).orderBy(F.col("_at").asc_nulls_last(), *order).rowsBetween(Window.unboundedPreceding, 0)
-    marked = df.withColumn("_at", F.col("geog_match"))
-    return marked.withColumns({c: F.when(F.col(title).isNull(), F.col(c)).otherwise(F.last(c, ignorenulls=True).over(before)) for c in columns}).drop("_at")
+    in_order = [F.col("geog_match").isNull(), F.col("geog_match"), *[F.col(o) if isinstance(o, str) else o for o in order]]
+    with_title = filled_forward(df.where(F.col(title).isNotNull()), title, in_order, columns)
+    return with_title.unionByName(df.where(F.col(title).isNull()))

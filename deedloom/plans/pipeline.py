@@ -13,6 +13,7 @@ from deedloom.operators.expand import expand_numbers, unique_ids
 from deedloom.operators.geo import add_areas, fill_by_gazetteers, forward_fill_in_title
 from deedloom.operators.labelling import Labeller, RuleLabeller, label_entities
 from deedloom.operators.match import add_existence_flags
+from deedloom.plans.session import cut
 
 # The columns of the result, in order.
 OUTPUT = (
@@ -52,13 +53,14 @@ def run_pipeline(
     scoped = titles if dated else titles.withColumn("snapshot_date", F.lit("1970-01-01").cast("date"))
     # Keys of groups within one snapshot; the title itself is put back at the end.
     keyed = with_datapoint_id(scoped).withColumn("_title", F.col("title_number")).withColumn("title_number", F.concat_ws("|", F.col("snapshot_date").cast("string"), F.col("title_number")))
-    located = add_areas(parse_titles(keyed, make), lookup)
+    # Labelling is the dear part and is read by several stages below, so it is written down once.
+    located = add_areas(cut(parse_titles(keyed, make)), lookup)
     order = ["datapoint_id", "leaf_pos"]
     filled = forward_fill_in_title(fill_by_gazetteers(located, buildings, districts, streets), order)
     flagged = unique_ids(add_existence_flags(filled, businesses), order)
     classed = classify(flagged, default_rules() if rules is None else rules)
-    kept = drop_repeated_classes(fill_unknown_classes(classed), [F.col("was_filled").desc(), *order])
-    expanded = expand_numbers(kept, most=most_expanded)
+    kept = drop_repeated_classes(fill_unknown_classes(classed), [~F.col("was_filled"), *order])
+    expanded = cut(expand_numbers(kept, most=most_expanded))
     last = [F.col("expand_block"), F.col("class") != "residential", ~F.col("was_filled"), "datapoint_id", "leaf_pos", "expanded_n"]
     numbered = unique_ids(expanded, last).withColumn("title_number", F.col("_title")).withColumn("unique_id", F.concat_ws("-", "_title", F.col("multi_id").cast("string")))
     present = {c: F.lit(None).cast("string") for c in OUTPUT if c not in numbered.columns}

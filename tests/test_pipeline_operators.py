@@ -337,3 +337,16 @@ def test_stream(spark, tmp_path):
     run()
     run()
     assert sorted(r.snapshot_date for r in spark.read.parquet(target).collect()) == [date(2024, 1, 1), date(2024, 2, 1)]
+
+
+def test_groups_in_pieces_equal_whole_ones(spark):
+    from pyspark.sql import Window
+
+    from deedloom.plans import ordered
+
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1000 == 1, None).otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))).alias("k"), F.xxhash64("id").alias("o"), "id", F.when(F.xxhash64(F.col("id") + 7) % 50 == 0, F.col("id")).alias("v"))
+    assert ordered.with_buckets(df, "k", [F.col("o")])[0].where("k = 'hot'").select("_bucket").distinct().count() > 30
+    by = Window.partitionBy("k").orderBy("o")
+    want = df.select("id", F.row_number().over(by).alias("n"), (F.count(F.lit(1)).over(Window.partitionBy("k")) > 1).alias("m"), F.last("v", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("v"))
+    got = ordered.numbered(df, "k", [F.col("o")], "n", "m").select("id", "n", "m").join(ordered.filled_forward(df, "k", [F.col("o")], ["v"]).select("id", "v"), "id").select("id", "n", "m", "v")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
