@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from deedloom.functions import label_patterns as patterns
 from deedloom.functions.text import commercial_park_tag, flat_tag
+from deedloom.plans.sizes import spread
 
 SPANS = "array<struct<text:string,start:int,end:int,label:string,function:string,ord:int>>"
 
@@ -178,7 +179,7 @@ def label_entities(df: DataFrame, row_id: str, text: str, make: Callable[[], Lab
                     found[i] = [{"type": label, "text": texts[i][a:e], "start": a, "end": e, "confidence": float(c)} for a, e, label, c in spans]
             yield pd.DataFrame({"id": b["id"], "original_address": texts, "entities": found})
 
-    return df.select(F.col(row_id).alias("id"), F.col(text).alias("text")).mapInPandas(run, f"id {kind}, original_address string, entities {ENTITIES}").withColumnRenamed("id", row_id)
+    return spread(df.select(F.col(row_id).alias("id"), F.col(text).alias("text"))).mapInPandas(run, f"id {kind}, original_address string, entities {ENTITIES}").withColumnRenamed("id", row_id)
 
 
 def components_by_type(entities: Column) -> Column:

@@ -21,7 +21,7 @@ DEFAULTS = {
 def local_session(app: str = "deedloom", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = SparkSession.builder.appName(app).master(f"local[{cores}]")
-    for key, value in {**DEFAULTS, "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", **conf}.items():
+    for key, value in {**DEFAULTS, "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k", **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

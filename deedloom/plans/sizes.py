@@ -45,3 +45,16 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: Col
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     copies = right.join(mark, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0))))).drop("_hot")
     return spread.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, for work that costs far more than moving the rows: a table of fewer parts than cores is dealt out anew.
+
+    Tables that are read in more parts than there are cores stay where they are, without a shuffle. So does what comes out
+    of one: to ask for its parts would be to run it.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(x in plan for x in ("Aggregate", "Join", "Window", "Sort", "Repartition", "Distinct")):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
