@@ -29,7 +29,10 @@ class Tree:
 
 @dataclass
 class BoostedTrees:
-    """Softmax boosting; ``rounds`` trees of ``depth`` a class. Deterministic: no sampling of rows or features."""
+    """Softmax boosting; at most ``rounds`` trees of ``depth`` a class, fewer if the mean loss falls under ``enough`` before.
+
+    Deterministic: no sampling of rows or features.
+    """
 
     classes: int
     rounds: int = 40
@@ -37,6 +40,7 @@ class BoostedTrees:
     rate: float = 0.2
     bins: int = 48
     smooth: float = 1.0
+    enough: float = 0.001
     edges: list[np.ndarray] = field(default_factory=list)
     trees: list[list[Tree]] = field(default_factory=list)
     start: np.ndarray | None = None
@@ -48,23 +52,24 @@ class BoostedTrees:
         inner = 2**self.depth - 1
         feature, threshold = np.zeros(inner, dtype=np.int64), np.full(inner, self.bins, dtype=np.int64)
         node = np.zeros(len(binned), dtype=np.int64)
-        width = self.bins + 1
+        width = max(len(e) for e in self.edges) + 1
+        rows, features = binned.shape
+        columns = np.arange(features)
+        # All features' histograms of a level are one count, over cells of (node, feature, bin).
+        g_each, h_each = np.repeat(gradient, features), np.repeat(hessian, features)
         for level in range(self.depth):
             first, n = 2**level - 1, 2**level
-            local = node - first
-            best = np.full(n, 1e-6)
-            for j in range(binned.shape[1]):
-                cell = local * width + binned[:, j]
-                g = np.bincount(cell, gradient, n * width).reshape(n, width).cumsum(1)
-                h = np.bincount(cell, hessian, n * width).reshape(n, width).cumsum(1)
-                gt, ht = g[:, -1:], h[:, -1:]
-                gain = g**2 / (h + self.smooth) + (gt - g) ** 2 / (ht - h + self.smooth) - gt**2 / (ht + self.smooth)
-                gain[(h < 1) | (ht - h < 1)] = 0
-                top = gain.argmax(1)
-                won = gain[np.arange(n), top] > best
-                best[won] = gain[np.arange(n), top][won]
-                feature[first : first + n][won], threshold[first : first + n][won] = j, top[won]
-            node = 2 * node + 1 + (binned[np.arange(len(binned)), feature[node]] > threshold[node])
+            cell = (((node - first)[:, None] * features + columns) * width + binned).ravel()
+            g = np.bincount(cell, g_each, n * features * width).reshape(n, features, width).cumsum(2)
+            h = np.bincount(cell, h_each, n * features * width).reshape(n, features, width).cumsum(2)
+            gt, ht = g[:, :, -1:], h[:, :, -1:]
+            gain = g**2 / (h + self.smooth) + (gt - g) ** 2 / (ht - h + self.smooth) - gt**2 / (ht + self.smooth)
+            gain[(h < 1) | (ht - h < 1)] = 0
+            flat = gain.reshape(n, -1)
+            top = flat.argmax(1)
+            won = flat[np.arange(n), top] > 1e-6
+            feature[first : first + n][won], threshold[first : first + n][won] = top[won] // width, top[won] % width
+            node = 2 * node + 1 + (binned[np.arange(rows), feature[node]] > threshold[node])
         leaf = node - inner
         g, h = np.bincount(leaf, gradient, inner + 1), np.bincount(leaf, hessian, inner + 1)
         return Tree(feature, threshold, -self.rate * g / (h + self.smooth))
@@ -79,6 +84,8 @@ class BoostedTrees:
         self.trees = []
         for _ in range(self.rounds):
             p = softmax(scores)
+            if -np.log(p[np.arange(len(x)), y] + 1e-12).mean() < self.enough:
+                break
             turn = []
             for c in range(self.classes):
                 tree = self._grow(binned, (p[:, c] - (y == c)) * weight, np.maximum(p[:, c] * (1 - p[:, c]), 1e-6) * weight)

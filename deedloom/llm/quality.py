@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedloom.llm.boosting import BoostedTrees, Calibration
+from deedloom.plans.sizes import spread
 
 KINDS = ("prose", "list", "table", "junk")
 #: Texts on which the trees are trained (those whose ids have the least hashes), and hand-checked ones for calibration.
@@ -278,7 +279,7 @@ def _features_of(df: DataFrame, common: list[str], keep: str) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"keep": b["keep"], "x": [features(t, words) for t in b["text"]]})
 
-    return df.select(F.col(keep).alias("keep"), "text").mapInPandas(run, f"keep {dict(df.dtypes)[keep]}, x array<double>")
+    return spread(df.select(F.col(keep).alias("keep"), "text")).mapInPandas(run, f"keep {dict(df.dtypes)[keep]}, x array<double>")
 
 
 def train_kinds(docs: DataFrame, doc_id: str, text: str, labels: DataFrame | None = None, kind: str = "text_kind", train_texts: int = TRAIN_TEXTS, holdout_texts: int = HOLDOUT_TEXTS) -> KindModel:
@@ -330,4 +331,4 @@ def text_kinds(docs: DataFrame, doc_id: str, text: str, model: KindModel) -> Dat
                 best = p.argmax(1)
                 yield pd.DataFrame({"id": b["id"], "kind": [KINDS[k] for k in best], "probability": p[np.arange(len(p)), best]})
 
-    return rows.mapInPandas(run, f"id {dict(rows.dtypes)['id']}, kind string, probability double").select(F.col("id").alias(doc_id), F.col("kind").alias("text_kind"), "probability")
+    return spread(rows).mapInPandas(run, f"id {dict(rows.dtypes)['id']}, kind string, probability double").select(F.col("id").alias(doc_id), F.col("kind").alias("text_kind"), "probability")

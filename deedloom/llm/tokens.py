@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deedloom.plans.sizes import spread
+
 #: Folder with the vocabularies; its files are read on the driver and sent to the tasks.
 TOKENIZERS = "/opt/tokenizers"
 #: Distinct words whose encodings a task remembers. Beyond it the memory starts anew; results don't depend on it.
@@ -175,5 +177,5 @@ def encode_texts(df: DataFrame, row_id: str, text: str, path: str = f"{TOKENIZER
     to_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     name = kind.simpleString()
     key = F.col(row_id) if name in to_arrow else F.col(row_id).cast("string")
-    out = df.select(key.alias("id"), F.col(text).alias("text")).mapInArrow(_in_batches(lambda: shared.value, to_arrow.get(name, pa.string())), f"id {name if name in to_arrow else 'string'}, ids array<int>")
+    out = spread(df.select(key.alias("id"), F.col(text).alias("text"))).mapInArrow(_in_batches(lambda: shared.value, to_arrow.get(name, pa.string())), f"id {name if name in to_arrow else 'string'}, ids array<int>")
     return out.select(F.col("id").cast(kind).alias(row_id), "ids")
