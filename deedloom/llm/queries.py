@@ -13,6 +13,7 @@ from deedloom.llm.linkage import business_premises, link_premises, register_prem
 from deedloom.llm.quality import text_kinds, text_statistics, train_kinds
 from deedloom.llm.same_place import same_place_pairs, same_places, title_addresses
 from deedloom.llm.tokens import encode_texts
+from deedloom.plans.sizes import hot_keys, salted_left_join, small
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,10 +25,11 @@ def _countries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Records whose country isn't spelt as in the list; those that are, a good part, go before anything is joined by value."""
     names = table(spark, folder, "country_list").select(F.col("country_name").alias("value")).where(F.col("value").isNotNull()).distinct()
-    mapped = _countries(spark, folder).join(names, "value", "left_anti")
-    records = table(spark, folder, "ocod").select("ocod_id", F.col("country_incorporated").alias("value")).distinct()
-    return records.join(mapped, "value").select("ocod_id", F.col("entry").alias("country_code")).distinct()
+    typed = table(spark, folder, "ocod").select("ocod_id", F.col("country_incorporated").alias("value")).join(small(names), "value", "left_anti").where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+    mapped = salted_left_join(typed, _countries(spark, folder), "value", F.col("ocod_id"), hot_keys(typed, "value"))
+    return mapped.select("ocod_id", F.col("entry").alias("country_code")).distinct()
 
 
 def p1_unmatched(spark: SparkSession, folder: str) -> DataFrame:
