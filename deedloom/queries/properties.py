@@ -11,12 +11,13 @@ from deedloom.functions.text import clean_street_number, commercial_park_tag, fl
 from deedloom.functions.values import compact
 from deedloom.operators.classify import classify, default_rules, drop_repeated_classes, fill_unknown_classes
 from deedloom.operators.expand import expand_column, expand_numbers, needs_expansion, unique_ids
-from deedloom.operators.gazetteers import building_gazetteer, building_mentions, district_gazetteer, street_gazetteer
+from deedloom.operators.gazetteers import LEAST_FRACTION, building_gazetteer, building_mentions, district_gazetteer, street_gazetteer, top_share
 from deedloom.operators.geo import add_areas, fill_by_gazetteers, forward_fill_in_title
 from deedloom.operators.labelling import components_by_type, exploded_spans, label_entities, labelling_summary, overlap_statistics, standard_spans, with_spans_of, without_empty, without_overlaps
 from deedloom.operators.assemble import addresses_of
 from deedloom.operators.match import add_existence_flags
 from deedloom.operators.snapshots import latest_rows
+from deedloom.plans.pipeline import run_pipeline
 from deedloom.queries.tables import table
 
 _FIELDS = ["title_number", "unit_id", "building_name", "street_number", "street_name", "postcode", "city", "district", "region", "property_address", "country_incorporated", "class", "is_multi"]
@@ -100,13 +101,11 @@ def building_gazetteer_top1(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _filled(spark: SparkSession, folder: str) -> DataFrame:
+    """Located records with areas filled, buildings from the records that their postcode locates."""
     streets = street_gazetteer(table(spark, folder, "price_paid_transactions").distinct())
-    buildings = streets.limit(0).select(F.col("street_name2").alias("building_name"), "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd", "fraction")
-    named = records(spark, folder).where(F.col("building_name").isNotNull() & F.col("postcode").isNotNull()).select(F.lower("building_name").alias("building_name"), compact(F.col("postcode")).alias("postcode2"))
-    from deedloom.operators.gazetteers import top_share
-
+    named = records(spark, folder).where(F.col("building_name").isNotNull()).select(F.lower("building_name").alias("building_name"), compact(F.col("postcode")).alias("postcode2"))
     places = named.join(table(spark, folder, "postcode_lookup"), "postcode2")
-    buildings = top_share(places, ["building_name", "lad11cd"], ["lsoa11cd", "oa11cd", "msoa11cd"], 0.2).select(*buildings.columns)
+    buildings = top_share(places, ["building_name", "lad11cd"], ["lsoa11cd", "oa11cd", "msoa11cd"], LEAST_FRACTION)
     return fill_by_gazetteers(located(spark, folder), buildings, table(spark, folder, "district_gazetteer"), streets)
 
 
@@ -184,9 +183,19 @@ def address_tree(spark: SparkSession, folder: str) -> DataFrame:
     return addresses_of(_entities(spark, folder))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All snapshots of the raw register, to one located, classified row a property."""
+    titles = table(spark, folder, "titles").withColumn("title_number", F.upper(F.trim("title_number")))
+    latest = latest_rows(titles, ["title_number", "snapshot_date"], "loaded_at", ["tenure", "district", "county", "region", "price_paid", "property_address", "country_incorporated"]).where(F.col("property_address").isNotNull())
+    sales = table(spark, folder, "price_paid_transactions").distinct()
+    buildings = building_gazetteer(building_mentions(sales, "transaction_unique_identifier"))
+    lookup = table(spark, folder, "postcode_lookup").select("postcode2", "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
+    return run_pipeline(latest, lookup, businesses(spark, folder), buildings, table(spark, folder, "district_gazetteer"), street_gazetteer(sales), most_expanded=100_000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     area_join, business_register, existence_flags, first_match_rules, group_class_fill, keep_first_dedupe, unique_row_ids, range_expand_filter, range_expand_column, street_gazetteer_top1, district_gazetteer_top1, building_gazetteer_top1,
-    coalesce_fill_chain, group_forward_fill, street_key_normalise, clean_numbers, keyword_flags, token_spaced, address_concat, span_find_validate, missing_columns_filled, span_extract, span_overlaps, span_standard, entity_summary, entity_components, address_tree,
+    coalesce_fill_chain, group_forward_fill, street_key_normalise, clean_numbers, keyword_flags, token_spaced, address_concat, span_find_validate, missing_columns_filled, span_extract, span_overlaps, span_standard, entity_summary, entity_components, address_tree, pipeline,
 )}
 
 _RECORDS = "records AS (SELECT * FROM ocod QUALIFY row_number() OVER (PARTITION BY ocod_id ORDER BY loaded_at DESC) = 1)"
@@ -302,18 +311,3 @@ FROM (SELECT DISTINCT * FROM price_paid_transactions)""",
 SELECT ocod_id, CAST(s AS INTEGER) AS start, CAST(CASE WHEN s >= 0 THEN s + length(t) ELSE -1 END AS INTEGER) AS "end", s >= 0 AND lower(substr(property_address, s + 1, length(t))) = lower(t) AS span_valid, s >= 0 AS found FROM p""",
     "missing_columns_filled": f"WITH {_RECORDS} SELECT ocod_id, unit_id, '?' AS unit_type, '?' AS number_filter FROM records",
 }
-
-
-def pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """All snapshots of the raw register, to one located, classified row a property."""
-    from deedloom.plans.pipeline import run_pipeline
-
-    titles = table(spark, folder, "titles").withColumn("title_number", F.upper(F.trim("title_number")))
-    latest = latest_rows(titles, ["title_number", "snapshot_date"], "loaded_at", ["tenure", "district", "county", "region", "price_paid", "property_address", "country_incorporated"]).where(F.col("property_address").isNotNull())
-    sales = table(spark, folder, "price_paid_transactions").distinct()
-    buildings = building_gazetteer(building_mentions(sales, "transaction_unique_identifier"))
-    lookup = table(spark, folder, "postcode_lookup").select("postcode2", "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
-    return run_pipeline(latest, lookup, businesses(spark, folder), buildings, table(spark, folder, "district_gazetteer"), street_gazetteer(sales), most_expanded=100_000)
-
-
-QUERIES["pipeline"] = pipeline

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import codecs
+import csv
 import io
 import re
 import zipfile
@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from deedloom.functions.text import clean_street_number, snapshot_month, street_key
 from deedloom.functions.values import compact
@@ -62,9 +61,12 @@ def read_zipped_csv(spark: SparkSession, path: str, member: str | None = None, p
     The header is read from the first archive and holds for all. Values in quotes may hold delimiters, not line ends.
     """
     lines = read_zipped_lines(spark, path, member, pattern, encoding=encoding)
-    header = next(iter(pd.read_csv(io.StringIO(lines.where("line_no = 0").orderBy("file").first().line), nrows=0, dtype=str).columns.to_list() for _ in (0,)))
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    parsed = lines.where("line_no > 0").select("file", F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"escape": '"'}).alias("r"))
+    first = lines.where("line_no = 0").orderBy("file").first()
+    if first is None:
+        raise ValueError(f"nothing to read at {path}")
+    header = next(csv.reader([first.line]))
+    fields = ", ".join(f"c{i} string" for i in range(len(header)))
+    parsed = lines.where("line_no > 0").select("file", F.from_csv("line", F.lit(fields), {"escape": '"'}).alias("r"))
     keep = [(i, n) for i, n in enumerate(header) if columns is None or (columns(n) if callable(columns) else n in columns)]
     if columns is not None and not callable(columns) and (missing := set(columns) - set(header)):
         raise ValueError(f"columns not in the file: {sorted(missing)}")
@@ -177,8 +179,3 @@ def annotations_only(df: DataFrame) -> DataFrame:
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Parquet snapshots, one file a month, with snapshot_date from the file's name; one plan over all files."""
     return spark.read.option("mergeSchema", "true").parquet(path).select("*", snapshot_month(F.col("_metadata.file_name")).alias("snapshot_date"))
-
-
-def decodable(data: bytes, encoding: str = "utf-8") -> str:
-    """Text of bytes without those that can't be decoded."""
-    return codecs.decode(data, encoding, errors="ignore")
