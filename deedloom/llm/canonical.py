@@ -24,6 +24,8 @@ IDLE_WORDS = ("A", "COMPANY", "CORPORATION", "IN", "INCORPORATED", "LAW", "LAWS"
 DIGITS = {"0": "O", "1": "I", "3": "E", "4": "A", "5": "S"}
 # A word and its usual short form, one word each.
 SHORT_WORDS = {"SAINT": "ST"}
+# Words that tell two entries apart however alike the rest is.
+OPPOSITES = (("NORTH", "SOUTH"), ("EAST", "WEST"))
 # What some countries call themselves or are called, by code.
 OTHER_NAMES = {
     "AE": ("Emirates",), "AT": ("Oesterreich", "Osterreich"), "BE": ("Belgique", "Belgie"), "BR": ("Brasil",), "CH": ("Schweiz", "Suisse", "Svizzera", "Swiss"),
@@ -94,6 +96,8 @@ def letters_agree(value: str, form: str) -> float:
     if value == form:
         return 1.0
     v, f = value.split(), form.split()
+    if any((a in v and b in f) or (b in v and a in f) for a, b in OPPOSITES):
+        return 0.0
     one, two = "".join(v), "".join(f)
     if one == two or sorted(v) == sorted(f):
         return 0.99

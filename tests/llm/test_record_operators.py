@@ -36,6 +36,7 @@ def test_map_to_list(spark):
 def test_letters_agree():
     assert letters_agree("ABC DEF", "ABC DEF") == 1 and letters_agree("DEF ABC", "ABC DEF") > 0.9
     assert letters_agree("GERMAYN", "GERMANY") > 0 and letters_agree("KARVONIA", "ESTONIA") == 0
+    assert letters_agree("NORTH KOREA", "SOUTH KOREA") == 0 and letters_agree("SOTH KOREA", "SOUTH KOREA") > 0
 
 
 def test_address_parts(spark):
