@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deedloom.functions.values import present
+from deedloom.plans.session import cut
 from deedloom.plans.sizes import hot_keys, salted_left_join
 
 
@@ -74,7 +75,8 @@ def missing_fills(df: DataFrame, gaps: Sequence[Gap], row_id: str, how: str = "m
             cells.append(F.struct(F.lit(g.name).alias("field_name"), F.lit(i).alias("rank"), F.lit(level.name).alias("fill_level"), F.lit(level.min_support).alias("least"), key.alias("key"), value.alias("value")))
     rows = df.select(F.col(row_id).alias("row_id"), F.explode(F.array(*cells)).alias("c")).select("row_id", "c.*").where(F.col("key").isNotNull())
     answers = (_modes if how == "mode" else _medians)(rows.where(F.col("value").isNotNull()).select("key", "value"))
-    asked = rows.where(F.col("value").isNull()).drop("value")
+    # The gaps are few and are read four times below (hot keys on both sides of the join), so they are written down once.
+    asked = cut(rows.where(F.col("value").isNull()).drop("value"))
     got = salted_left_join(asked, answers, "key", F.col("row_id"), hot_keys(asked.select("key"), "key")).where(F.col("support") >= F.col("least"))
     if all(len(g.levels) == 1 for g in gaps):
         return got.select("row_id", "field_name", F.col("fill").alias("fill_value"), "fill_level")
