@@ -78,7 +78,8 @@ _RULE = re.compile(r"^[\s|+=¦:*_-]{4,}$")
 _END = re.compile(r"[.!?…][\"'”’»)\]]*$")
 _HTML = re.compile(r"</?[a-zA-Z][^<>]{0,80}>|&[a-z]{2,6};|\{\{.{0,20}?\}\}")
 _MOJIBAKE = re.compile(r"[ÃÂ][\x80-\xbf¡-¿]|�|â€|[¤§¶][a-z]|[a-z][¤§¶]")
-_VOWEL = re.compile(r"[aeiouyàâäéèêëîïôöùûüœæáíóúŵŷåø]", re.I)
+_VOWELS = frozenset("aeiouyàâäéèêëîïôöùûüœæáíóúŵŷåøAEIOUYÀÂÄÉÈÊËÎÏÔÖÙÛÜŒÆÁÍÓÚŴŶÅØ")
+_HEX = re.compile(r"(?=[a-fA-F]*[0-9])[0-9a-fA-F]+")
 # Words, phrases and marks of page furniture.
 _FURNITURE_WORDS = frozenset(("about", "cookie", "cookies", "help", "home", "login", "menu", "next", "prev", "print", "privacy", "search", "share", "sitemap", "subscribe", "terms", "tweet"))
 _FURNITURE_PHRASES = ("all rights reserved", "back to top", "contact us", "follow us", "log in", "sign in", "skip to", "©", "«", "»")
@@ -95,32 +96,36 @@ _COMMA = re.compile(r",(?!\s)")
 def _furniture(text: str, words: list[str]) -> int:
     """How many words and phrases of page furniture a text has."""
     lower = text.lower()
-    return sum(1 for w in words if w.lower() in _FURNITURE_WORDS) + sum(lower.count(p) for p in _FURNITURE_PHRASES)
+    return sum(w in _FURNITURE_WORDS for w in map(str.lower, words)) + sum(map(lower.count, _FURNITURE_PHRASES))
 
 
 def _marks(line: str, mark: str) -> int:
     return len(_COMMA.findall(line)) if mark == "," else line.count(mark)
 
 
-def _junk_share(text: str, tokens: list[str], common: frozenset[str]) -> float:
-    """How surely a piece of text is garbled, encoded, repeated or page furniture, from 0 to 1."""
+def _mojibake(text: str) -> int:
+    return 0 if text.isascii() else len(_MOJIBAKE.findall(text))
+
+
+def _markup(text: str) -> int:
+    """Characters in tags, entities and placeholders."""
+    return sum(map(len, _HTML.findall(text))) if "<" in text or "&" in text or "{{" in text else 0
+
+
+def _junk_share(text: str, tokens: list[str], found: list[str]) -> float:
+    """How surely a piece of text, of these tokens and words, is garbled, encoded, repeated or page furniture, from 0 to 1."""
     n = len(text)
     if n == 0 or not tokens:
         return 0.0
-    found = _LETTERS.findall(text)
-    word_chars = sum(map(len, found))
-    if not text.isascii() and len(_MOJIBAKE.findall(text)) * 40 > n:
-        return 1.0
-    if ("<" in text or "&" in text or "{{" in text) and sum(map(len, _HTML.findall(text))) * 3 > n:
+    if _mojibake(text) * 40 > n or _markup(text) * 3 > n:
         return 1.0
-    symbols = len(_SYMBOL.findall(text))
-    if symbols * 5 > 2 * n and word_chars * 3 < n:
+    if sum(map(len, found)) * 3 < n and len(_SYMBOL.findall(text)) * 5 > 2 * n:
         return 1.0
     if len(tokens) >= 8 and sum(1 for t in tokens if len(t) == 1) > 0.7 * len(tokens):
         return 1.0
     if sum(len(t) for t in tokens if len(t) >= 32) * 2 > n:
         return 1.0
-    if len(tokens) >= 8 and sum(1 for t in tokens if len(t) in (2, 4, 8, 16, 32) and re.fullmatch(r"[0-9a-fA-F]+", t) and re.search(r"\d", t)) > 0.6 * len(tokens):
+    if len(tokens) >= 8 and sum(1 for t in tokens if len(t) in (2, 4, 8, 16, 32) and _HEX.fullmatch(t)) > 0.6 * len(tokens):
         return 1.0
     # The same few words over and over, looked at through a window: longer texts repeat words anyway.
     lower = [t.lower() for t in tokens]
@@ -132,7 +137,7 @@ def _junk_share(text: str, tokens: list[str], common: frozenset[str]) -> float:
         if furniture >= 5 and furniture > 0.15 * len(tokens):
             return 1.0
     words = [w for w in found if len(w) > 1 and (len(w) > 4 or not w.isupper())]
-    if len(words) >= 8 and sum(1 for w in words if not _VOWEL.search(w)) > 0.5 * len(words):
+    if len(words) >= 8 and sum(1 for w in words if _VOWELS.isdisjoint(w)) > 0.5 * len(words):
         return 1.0
     return 0.0
 
@@ -142,13 +147,14 @@ def _told(words: list[str]) -> float:
     return sum(1 for w in words if w[0].islower()) / len(words) if words else 0.0
 
 
-def _is_sentence(line: str, common: frozenset[str]) -> bool:
-    words = _LETTERS.findall(line)
+def _is_sentence(line: str, words: list[str], common: frozenset[str]) -> bool:
+    if len(words) < 6:
+        return False
     if len(_PARTED.findall(line)) >= 0.4 * len(words):
         return False
     if line.isupper():
-        return len(words) >= 6 and sum(1 for w in words if w.lower() in common) >= 0.3 * len(words)
-    return len(words) >= 6 and _told(words) >= 0.5
+        return sum(1 for w in words if w.lower() in common) >= 0.3 * len(words)
+    return _told(words) >= 0.5
 
 
 def _unwrapped(lines: list[str], common: frozenset[str]) -> list[str]:
@@ -161,8 +167,9 @@ def _unwrapped(lines: list[str], common: frozenset[str]) -> list[str]:
             if room <= longer:
                 break
             width, least, j = longer, room, j + 1
-        if j > i and width >= 25 and _is_sentence(" ".join(lines[i : j + 1]), common):
-            out.append(" ".join(lines[i : j + 1]))
+        whole = " ".join(lines[i : j + 1])
+        if j > i and width >= 25 and _is_sentence(whole, _LETTERS.findall(whole), common):
+            out.append(whole)
             i = j + 1
         else:
             out.append(lines[i])
@@ -178,7 +185,8 @@ def line_kinds(text: str, common: frozenset[str]) -> dict[str, float]:
     plain = [_AMOUNT.sub("1", x) for x in lines]
     total = sum(map(len, lines)) or 1
     share = dict.fromkeys(KINDS, 0.0)
-    sentence = [_is_sentence(x, common) for x in lines]
+    words = [_LETTERS.findall(x) for x in lines]
+    sentence = [_is_sentence(x, w, common) for x, w in zip(lines, words)]
     # Delimiters that several lines hold equally often make a table.
     columns = []
     for d in _DELIMITERS:
@@ -209,7 +217,7 @@ def line_kinds(text: str, common: frozenset[str]) -> dict[str, float]:
             kind = "junk"
         elif _RULE.match(x) and len(lines) > 2:
             kind = "table"
-        elif _junk_share(x, tokens, common) > 0.5 and not (in_columns and len(x) < 300 and not _HTML.search(x) and not _MOJIBAKE.search(x)):
+        elif _junk_share(x, tokens, words[i]) > 0.5 and not (in_columns and len(x) < 300 and not _HTML.search(x) and not _MOJIBAKE.search(x)):
             kind = "junk"
         elif in_columns:
             kind = "table"
@@ -222,7 +230,7 @@ def line_kinds(text: str, common: frozenset[str]) -> dict[str, float]:
             parts = [p for p in _SPLIT_RUN.split(x) if p]
             if len(parts) >= 6:
                 short = sum(len(p) for p in parts if len(p) <= 40)
-                if short > 0.8 * sum(map(len, parts)) and _told(_LETTERS.findall(x)) < 0.4:
+                if short > 0.8 * sum(map(len, parts)) and _told(words[i]) < 0.4:
                     kind = "list"
         share[kind] += len(x) / total
     return share
@@ -239,7 +247,7 @@ def features(text: str, common: frozenset[str]) -> list[float]:
     kinds = line_kinds(text, common)
     n_tokens, n_words = max(1, len(tokens)), max(1, len(words))
     sentences = [s for s in _SENTENCE.split(" ".join(lines)) if s]
-    told = sum(len(s) for s in sentences if _is_sentence(s, common))
+    told = sum(len(s) for s in sentences if _is_sentence(s, _LETTERS.findall(s), common))
     pairs = list(zip(lower, lower[1:]))
     raw = text.encode("utf-8", "surrogatepass")
     delimiters = [max((c for k, c in Counter(_marks(x, d) for x in lines).items() if k >= 2), default=0) / max(1, len(lines)) if d in text else 0.0 for d in _DELIMITERS]
@@ -248,8 +256,8 @@ def features(text: str, common: frozenset[str]) -> list[float]:
         sum(map(len, words)) / n_words, max(map(len, tokens), default=0) / n, sum(len(t) for t in tokens if len(t) >= 25) / n, sum(1 for t in tokens if len(t) == 1) / n_tokens,
         sum(1 for w in lower if w in common) / n_words, sum(map(str.isdigit, text)) / n, sum(map(str.isupper, text)) / n, len(_SYMBOL.findall(text)) / n,
         sum(1 for x in lines if _END.search(x)) / max(1, len(lines)), sum(1 for x in lines if _BULLET.match(x)) / max(1, len(lines)), len(set(lower)) / n_words, len(set(pairs)) / max(1, len(pairs)),
-        len(zlib.compress(raw, 1)) / max(1, len(raw)), len(_MOJIBAKE.findall(text)) / n, sum(map(len, _HTML.findall(text))) / n, _furniture(text, words) / n_tokens,
-        sum(1 for w in words if len(w) > 1 and not _VOWEL.search(w)) / n_words, told / n, len([p for p in _SPLIT_RUN.split(text) if len(p) <= 40]) / n_tokens, sum(map(len, words)) / n, *delimiters,
+        len(zlib.compress(raw, 1)) / max(1, len(raw)), _mojibake(text) / n, _markup(text) / n, _furniture(text, words) / n_tokens,
+        sum(1 for w in words if len(w) > 1 and _VOWELS.isdisjoint(w)) / n_words, told / n, len([p for p in _SPLIT_RUN.split(text) if len(p) <= 40]) / n_tokens, sum(map(len, words)) / n, *delimiters,
     ]
 
 
