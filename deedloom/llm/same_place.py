@@ -9,10 +9,11 @@ from deedloom.functions.values import compact
 from deedloom.llm.places import NEAR, building_key, close, number_beside, number_key, plain_words, street_parts
 from deedloom.operators.packed import packed_kind
 from deedloom.plans.session import cut
+from deedloom.plans.sizes import small
 
-#: Neighbours in the sort order with which an address is compared. Equal addresses are one before that, and links
-#: chain, so groups of any size are found whole.
-WINDOW = 8
+#: Blocks of no more forms than this are compared whole; in larger ones forms meet by what slips leave of their streets.
+#: Both ways find every pair.
+WHOLE = 50
 #: Rounds of label spreading after which an error is raised; components of forms are a few forms wide.
 ROUNDS = 40
 
@@ -54,27 +55,63 @@ def _agree(a: str, b: str) -> Column:
     return F.coalesce(same("unit") & town & street & place, F.lit(False))
 
 
-def _passes(forms: DataFrame, window: int) -> DataFrame:
-    """Links (a, b) of neighbouring forms, from passes with the components in different orders."""
-    blank = lambda c: F.coalesce(c, F.lit(""))
-    street, unit, number = blank(F.col("street")), blank(F.col("unit")), blank(F.col("number"))
-    backwards = F.reverse(street)
-    orders = [
-        ([F.col("district"), number, unit, F.col("street_type")], [street, F.col("postcode"), F.col("id")], F.col("number").isNotNull()),
-        ([F.col("district"), number, unit, F.col("street_type")], [backwards, F.col("postcode"), F.col("id")], F.col("number").isNotNull()),
-        ([F.col("postcode"), unit], [number, street, F.col("building"), F.col("id")], F.col("postcode").isNotNull()),
-        ([F.col("district"), unit, F.col("street_type"), F.substring("building", 1, 3)], [street, F.col("building"), F.col("id")], F.col("building").isNotNull()),
-        ([F.col("district"), unit, F.col("street_type"), F.substring(F.reverse("street"), 1, 3)], [F.reverse("building"), street, F.col("id")], F.col("building").isNotNull()),
-    ]
-    whole = F.struct("id", *PARTS)
-    links = None
-    for keys, order, some in orders:
-        rows = forms.where(some).select(whole.alias("a"), *[k.alias(f"k{i}") for i, k in enumerate(keys)], *[o.alias(f"o{i}") for i, o in enumerate(order)])
-        w = Window.partitionBy(*[f"k{i}" for i in range(len(keys))]).orderBy(*[f"o{i}" for i in range(len(order))])
-        ahead = F.array_compact(F.array(*[F.lead("a", n).over(w) for n in range(1, window + 1)]))
-        found = rows.select("a", ahead.alias("bs")).select("a", F.explode("bs").alias("b")).where(_agree("a", "b")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-        links = found if links is None else links.unionByName(found)
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
+def _remains(c: Column) -> Column:
+    """Keys of a word such that any two words that are close() with 3 and 6 (so with greater lengths too) share one.
+
+    These are the word, what is left of it without any letter or, from six letters on, any two, and its letters in order.
+    """
+    without_one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+    none = F.array().cast("array<string>")
+    one = F.when(F.length(c) > 1, without_one(c)).otherwise(none)
+    two = F.when(F.length(c) >= 6, F.flatten(F.transform(without_one(c), without_one))).otherwise(none)
+    return F.array_distinct(F.concat(F.array(c), one, two, F.array(F.concat(F.lit("\u0001"), F.array_join(F.array_sort(F.split(c, "")), "")))))
+
+
+def _close_towns(forms: DataFrame) -> DataFrame:
+    """(town, others): towns in whose blocks the forms of a town stand too, so that any two close towns share a block.
+
+    Of two close towns the rarer goes to the block of the commoner, or both go to that of a third, the commonest near both.
+    """
+    towns = cut(forms.where(F.col("town").isNotNull()).groupBy(F.col("town").alias("t")).agg(F.count(F.lit(1)).alias("n")))
+    keyed = towns.select(F.struct("n", "t").alias("x"), F.explode(_remains(F.col("t"))).alias("key"))
+    near = keyed.join(keyed.withColumnRenamed("x", "y"), "key").where((F.col("x") < F.col("y")) & close(F.col("x.t"), F.col("y.t"))).select("x", "y").distinct()
+    near = cut(near)
+    best = near.groupBy("x").agg(F.max("y").alias("best"))
+    both = near.join(best, "x").join(best.select(F.col("x").alias("y"), F.col("best").alias("best_y")), "y", "left")
+    return both.where(~F.col("best").eqNullSafe(F.col("best_y"))).groupBy(F.col("x.t").alias("town")).agg(F.collect_list("y.t").alias("others"))
+
+
+def _links(forms: DataFrame, whole: int = WHOLE) -> DataFrame:
+    """Links (a, b) of all forms that agree.
+
+    Forms that agree share a block: of the unit, the street type, the number (without one, a building is given) and the
+    town, a town close to it or, where one has none, the district or postcode. In the latter blocks, and those without
+    number, pairs count only if one side lacks the part (``asks``). What the blocks give is checked by _agree, so
+    hashes that clash do no harm.
+    """
+    placed = forms.join(small(_close_towns(forms)), "town", "left")
+    part = lambda c: F.coalesce(F.col(c), F.lit("\u0002"))
+    no_number, no_town = F.col("number").isNull(), F.col("town").isNull()
+
+    def blocks(kind: str, some: Column, number: Column, asks_town: Column, asks_rest: Column) -> Column:
+        at = lambda of, where: F.xxhash64(F.lit(kind + of), number, part("unit"), part("street_type"), where)
+        towns = F.when(some & ~no_town, F.transform(F.concat(F.array("town"), F.coalesce("others", F.array().cast("array<string>"))), lambda t: F.struct(at("t", t).alias("block"), asks_town.alias("asks"))))
+        district = F.when(some, F.struct(at("d", part("district")).alias("block"), asks_rest.alias("asks")))
+        postcode = F.when(some & F.col("postcode").isNotNull(), F.struct(at("p", part("postcode")).alias("block"), asks_rest.alias("asks")))
+        return F.concat(F.coalesce(towns, F.array().cast("array<struct<block:bigint,asks:boolean>>")), F.array_compact(F.array(district, postcode)))
+
+    numbered = blocks("n", ~no_number, part("number"), F.lit(True), no_town)
+    named = blocks("b", F.col("building").isNotNull(), F.lit(""), no_number, no_number)
+    rows = placed.select(F.xxhash64("id").alias("h"), "street", F.explode(F.concat(numbered, named)).alias("k")).select("h", "street", "k.*")
+    block = Window.partitionBy("block")
+    met = rows.withColumns({"n": F.count(F.lit(1)).over(block), "asking": F.max("asks").over(block)}).where((F.col("n") > 1) & F.col("asking"))
+    keys = F.when(F.col("n") <= whole, F.array("block")).otherwise(F.transform(_remains(F.col("street")), lambda r: F.xxhash64("block", r)))
+    met = cut(met.select("h", "street", "asks", F.explode(keys).alias("key")))
+    a, b = met.where("asks").select("key", F.col("h").alias("a"), F.col("street").alias("s")), met.select("key", F.col("h").alias("b"), F.col("street").alias("t"))
+    pairs = a.join(b, "key").where((F.col("a") != F.col("b")) & close(F.col("s"), F.col("t"), 3, 6)).select(F.least("a", "b").alias("ha"), F.greatest("a", "b").alias("hb")).distinct()
+    side = lambda n: forms.select(F.xxhash64("id").alias(f"h{n}"), F.struct("id", *PARTS).alias(n))
+    agreed = pairs.join(side("a"), "ha").join(side("b"), "hb").where(_agree("a", "b"))
+    return agreed.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).where(F.col("a") != F.col("b")).distinct()
 
 
 def components(links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -96,13 +133,12 @@ def components(links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     raise RuntimeError(f"labels still change after {rounds} rounds")
 
 
-def same_places(addresses: DataFrame, key: str, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def same_places(addresses: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(members, links) of addresses with the PARTS: (<key>, form, place) for each address, and links between forms.
 
-    Method: addresses equal in all parts are one form. Forms are sorted by their parts in several orders (street,
-    street read backwards, postcode, building), and each is compared with the ``window`` forms after it: unit,
-    number and street type must be equal; street, building and town may differ by slips (edits, swaps). Links chain
-    to places.
+    Method: addresses equal in all parts are one form. Forms are put in blocks by unit, number, street type and town
+    (see _links), and all that agree are linked, however thick the blocks: unit, number and street type must be equal;
+    street, building and town may differ by slips (edits, swaps). Links chain to places.
 
     Cases: addresses without street, or with neither number nor building, form no links. Null parts agree with what the
     rules for missing parts allow (see _agree); null units are the whole. An address has its own form if it links to none.
@@ -110,20 +146,20 @@ def same_places(addresses: DataFrame, key: str, window: int = WINDOW) -> tuple[D
     hashed = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(p), F.lit("\u0002")) for p in PARTS]))
     keyed = addresses.withColumn("id", hashed)
     forms = cut(keyed.where(F.col("street").isNotNull() & (F.col("number").isNotNull() | F.col("building").isNotNull())).select("id", *PARTS).distinct())
-    links = cut(_passes(forms, window))
+    links = cut(_links(forms))
     places = components(links)
     members = keyed.select(key, "id", *PARTS).join(places.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
     able = F.col("street").isNotNull() & (F.col("number").isNotNull() | F.col("building").isNotNull())
     return members.select(key, F.col("id").alias("form"), F.when(able, F.coalesce("label", "id")).alias("place"), *PARTS), links
 
 
-def same_place_pairs(addresses: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
+def same_place_pairs(addresses: DataFrame, key: str) -> DataFrame:
     """(a, b): the keys of each two addresses of one place, a < b, once.
 
     Pairs are those of a place whose units, numbers and streets agree directly; the number of rows is that of the pairs
     that are asked for. Addresses without a place have none; repeated keys count once.
     """
-    members, _ = same_places(addresses, key, window)
+    members, _ = same_places(addresses, key)
     held = cut(members.where(F.col("place").isNotNull()).select(F.col(key).alias("key"), "place", *PARTS).dropDuplicates(["key"]))
     left = held.select("place", F.struct("key", *PARTS).alias("a"))
     right = held.select("place", F.struct("key", *PARTS).alias("b"))

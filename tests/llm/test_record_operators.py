@@ -104,6 +104,28 @@ def test_same_places_against_all_pairs(spark):
     assert len(want & got) >= 0.99 * len(want)
 
 
+def test_same_places_in_thick_blocks(spark):
+    """Slips, missing postcodes and towns and slipped towns are found among a hundred forms from ten towns with as many streets in between."""
+    from deedloom.llm.same_place import _agree
+
+    rng = random.Random(5)
+    towns = ["".join(rng.choice("abdeiklmnorstu") for _ in range(9)) for _ in range(10)]
+    streets = ["fox" + "".join(rng.choice("abdeiklmnorstu") for _ in range(5)) for _ in range(8)]
+    rows = [(town, f"{street}", f"p{i}") for i, town in enumerate(towns) for street in streets]
+    rows += [(t, "foxglove", "q") for t in towns] + [(t, "foxgove", None) for t in towns] + [(t[:3] + t[4:], "foxglvoe", None) for t in towns[:5]] + [(None, "foxglov", None), (None, "foxglovee", "q")]
+    data = [(f"k{i:03}", None, "12", None, s, "road", t, "d", p) for i, (t, s, p) in enumerate(rows)]
+    data += [(f"b{i:03}", None, n, b, s, "road", t, "d", None) for i, (n, b, s, t) in enumerate((n, b, s, t) for n, b in ((None, "elmhouse"), ("14", "elmhuose")) for s in ("foxglove", "foxgove") for t in towns)]
+    df = spark.createDataFrame(data, "id string, " + ", ".join(f"{p} string" for p in PARTS))
+    sides = [df.select(F.struct("id", *PARTS).alias(n)) for n in "ab"]
+    want = {(r.a, r.b) for r in sides[0].crossJoin(sides[1]).where((F.col("a.id") < F.col("b.id")) & _agree("a", "b")).select("a.id", "b.id").toDF("a", "b").collect()}
+    assert len(want) > 100
+    assert want <= {(r.a, r.b) for r in same_place_pairs(df.withColumnRenamed("id", "key"), "key").collect()}
+    from deedloom.llm.same_place import _links
+
+    for whole in (1, 30, 1000):
+        assert {(r.a, r.b) for r in _links(df, whole).collect()} == want
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(6)
     links = {tuple(sorted(rng.sample(range(120), 2))) for _ in range(90)} | {(i, i + 1) for i in range(200, 240)}
