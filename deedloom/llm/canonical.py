@@ -15,8 +15,6 @@ from deedloom.plans.sizes import small
 LOOK, SURE = 0.15, 0.9
 #: By so much the best entry's score must exceed the next entry's, unless its form equals the value.
 MARGIN = 0.03
-#: Candidates of a value whose letters are checked, best first. Ties at the end are all kept.
-CHECKED = 5
 
 # Words that say nothing about which entry is meant.
 IDLE_WORDS = ("A", "COMPANY", "CORPORATION", "IN", "INCORPORATED", "LAW", "LAWS", "OF", "REGISTERED", "REP", "REPUBLIC", "SAR", "STATE", "STATES", "KINGDOM", "THE", "UNDER")
@@ -136,7 +134,7 @@ def map_to_list(values: DataFrame, value: str, entries: DataFrame, entry: str, n
     """(value, entry, score): each distinct value with the entry it means, or ``unmatched`` where none is meant.
 
     Method: distinct values are normalised; candidates come from an inverted index of the entries' character
-    n-grams, weighted by how few entries have them, and are scored by the cosine of the weights. The best few are
+    n-grams, weighted by how few entries have them, and are scored by the cosine of the weights. All from LOOK on are
     checked letter by letter (word order, short forms, initials, cut ends, slips). A candidate is accepted if its
     letters agree, or its cosine is at least SURE, and if it leads the next entry by MARGIN. Short codes, which have
     too few n-grams, count if they equal the whole value or one of its parts.
@@ -183,9 +181,7 @@ def map_to_list(values: DataFrame, value: str, entries: DataFrame, entry: str, n
         dots.join(value_norms, ["value", "part", "kind"]).withColumn("cosine", F.col("dot") / (F.col("form_norm") * F.col("value_norm"))).where(F.col("cosine") >= LOOK)
         .groupBy("value", "entry", "form", "main").agg(F.max("cosine").alias("cosine"))
     )
-    by_cosine = Window.partitionBy("value").orderBy(F.desc("cosine"))
-    best = scored.withColumn("place", F.rank().over(by_cosine)).where(F.col("place") <= CHECKED)
-    checked = best.join(asked, "value").select("value", "parts", "entry", "form", "main", "cosine").mapInPandas(_check, "value string, entry string, main boolean, cosine double, letters double")
+    checked = scored.join(asked, "value").select("value", "parts", "entry", "form", "main", "cosine").mapInPandas(_check, "value string, entry string, main boolean, cosine double, letters double")
     # A letter check decides before the cosine; the main name counts a little more than others.
     score = F.when(F.col("letters") > 0, F.col("letters") + 0.1 * F.col("cosine") + F.when(F.col("main"), 0.06).otherwise(0.0)).when(F.col("cosine") >= SURE, F.col("cosine") * 0.5).otherwise(F.lit(0.0))
     ranked = checked.unionByName(by_code).withColumn("score", score).where(F.col("score") > 0).groupBy("value", "entry").agg(F.max("score").alias("score"), F.max("letters").alias("letters"))

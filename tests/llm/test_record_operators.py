@@ -33,6 +33,13 @@ def test_map_to_list(spark):
     assert map_to_list(values.limit(0), "typed", entries, "code", ["name", "alt"]).collect() == []
 
 
+def test_map_to_list_among_alike_names(spark):
+    """The entry meant is found though the cosines of more than five other entries are higher."""
+    rows = [(f"N{c}", f"SOUTH KARVON NORTH {c}") for c in "AEIOSUY"] + [("ST", "SOUTHERN KARVONIAN TERRITORY"), ("BE", "BELIZE")]
+    got = map_to_list(spark.createDataFrame([("South Karvon",)], "typed string"), "typed", spark.createDataFrame(rows, "code string, name string"), "code", ["name"]).collect()
+    assert [(r.value, r.entry) for r in got] == [("South Karvon", "ST")]
+
+
 def test_letters_agree():
     assert letters_agree("ABC DEF", "ABC DEF") == 1 and letters_agree("DEF ABC", "ABC DEF") > 0.9
     assert letters_agree("GERMAYN", "GERMANY") > 0 and letters_agree("KARVONIA", "ESTONIA") == 0
