@@ -42,13 +42,13 @@ def p3_backed_off(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return split_packed(table(spark, folder, "ocod"), "title_number", "property_address")
+    return split_packed(table(spark, folder, "ocod"), "title_number", "property_address", max_range=None)
 
 
 def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
     """For each title with packed values, how many there are and whether the delivered expansion_size agrees."""
     ocod = table(spark, folder, "ocod")
-    counted = split_packed(ocod, "title_number", "property_address").groupBy("title_number").agg(F.count(F.lit(1)).alias("n_values"))
+    counted = split_packed(ocod, "title_number", "property_address", max_range=None).groupBy("title_number").agg(F.count(F.lit(1)).alias("n_values"))
     stated = ocod.groupBy("title_number").agg(F.max("expansion_size").alias("stated_size"))
     return counted.join(stated, "title_number").select("title_number", "n_values", "stated_size", F.coalesce(F.col("n_values") == F.col("stated_size"), F.lit(False)).alias("agrees"))
 

@@ -72,6 +72,23 @@ def test_split_packed_cases(spark):
     assert split_packed(spark.createDataFrame([], schema), "title_number", "property_address").collect() == []
 
 
+def test_long_ranges_are_written_out(spark, tmp_path):
+    """Ranges longer than a piece or MAX_RANGE give every number in the query, and count as packed."""
+    from deedloom.queries.register import p5_found
+
+    schema = "title_number string, property_address string"
+    rows = [("A", "Flats 1-150000, Elm House"), ("B", "Flats 9, 1-200001 (odd), 200001-4 (even), 7, Elm House"), ("C", "Flats 3000000001-3000000003, Elm House"), ("D", "Flats 6-5 (odd), 4-4 (odd), Elm House")]
+    df = spark.createDataFrame(rows, schema)
+    df.write.parquet(str(tmp_path / "ocod.parquet"))
+    got = defaultdict(list)
+    for r in p5_found(spark, str(tmp_path)).collect():
+        got[r.title_number].append((r.pos, r.val))
+    want = {"A": range(1, 150_001), "B": [9, *range(1, 200_002, 2), *range(200_000, 3, -2), 7], "C": range(3_000_000_001, 3_000_000_004)}
+    assert {k: sorted(v) for k, v in got.items()} == {k: [(i, str(n)) for i, n in enumerate(v, 1)] for k, v in want.items()}
+    kinds = spark.createDataFrame([("1-150000 Elm Road, Town",), ("Flats 1-999999999, Elm House",)], "t string").select(packed_kind(F.col("t")).alias("k"), packs_places(F.col("t")).alias("p")).collect()
+    assert [(r.k, r.p) for r in kinds] == [("houses", True), ("units", False)]
+
+
 def _brute_units(text: str) -> list[str]:
     """A plain reading of 'Flats <list>, X House, ...' for random lists."""
     out = []
