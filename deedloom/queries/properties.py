@@ -190,7 +190,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     sales = table(spark, folder, "price_paid_transactions").distinct()
     buildings = building_gazetteer(building_mentions(sales, "transaction_unique_identifier"))
     lookup = table(spark, folder, "postcode_lookup").select("postcode2", "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
-    return run_pipeline(latest, lookup, businesses(spark, folder), buildings, table(spark, folder, "district_gazetteer"), street_gazetteer(sales), most_expanded=100_000)
+    return run_pipeline(latest, lookup, businesses(spark, folder), buildings, table(spark, folder, "district_gazetteer"), street_gazetteer(sales))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (

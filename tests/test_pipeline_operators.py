@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 import zipfile
-from datetime import date
+from datetime import date, datetime
 
 import numpy as np
 import pytest
@@ -326,6 +326,19 @@ def test_pipeline(spark):
     assert run_pipeline(spark.createDataFrame([], TITLES), *_pipeline_inputs(spark)).columns == [*OUTPUT, "snapshot_date"]
 
 
+def test_pipeline_query_expands_long_ranges(spark, monkeypatch):
+    """The registered query gives a row for each number of a range, however long."""
+    from deedloom.queries import properties
+
+    title = [("A", "F", "north", "c", "r", 1.0, "Flats 1-100003, Oak House, 4 High Street, London (AA1 1AA)", "JERSEY", date(2024, 1, 1), datetime(2024, 1, 2))]
+    tables = {"titles": spark.createDataFrame(title, TITLES + ", loaded_at timestamp"), "postcode_lookup": _pipeline_inputs(spark)[0], "district_gazetteer": _pipeline_inputs(spark)[3]}
+    tables["voa_register"] = spark.createDataFrame([], "voa_id long, primary_and_secondary_description_code string, primary_description_text string, number_or_name string, street string, postcode string")
+    tables["price_paid_transactions"] = spark.createDataFrame([], f"transaction_unique_identifier string, saon string, paon string, locality string, price int, date_of_transfer date, district string, property_type string, street_name2 string, street_number string, postcode2 string, {AREAS}")
+    monkeypatch.setattr(properties, "table", lambda spark, folder, name: tables[name])
+    out = properties.pipeline(spark, "").select(F.count(F.lit(1)).alias("n"), F.countDistinct("unit_id").alias("units"), F.max("expansion_size").alias("size")).first()
+    assert (out.n, out.units, out.size) == (100_003, 100_003, 100_003)
+
+
 def test_stream(spark, tmp_path):
     source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     inputs = _pipeline_inputs(spark)
