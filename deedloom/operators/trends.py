@@ -18,7 +18,7 @@ def group_counts(df: DataFrame, keys: Sequence[str], snapshot: str = "snapshot_d
 def summary_counts(df: DataFrame, class_col: str = "class", snapshot: str = "snapshot_date", most_expanded: int | None = None) -> dict[str, DataFrame]:
     """Four tables of counts: residential by is_multi, and by is_multi and LAD; all by region and class, and by country.
 
-    Rows expanded to ``most_expanded`` or more are left out if it is given.
+    Rows expanded to ``most_expanded`` or more, or with a null expansion_size, are left out if it is given.
     """
     rows = df if most_expanded is None else df.where(F.col("expansion_size") < most_expanded)
     homes = rows.where(F.col(class_col) == "residential")

@@ -23,8 +23,8 @@ from deedloom.queries.tables import table
 _FIELDS = ["title_number", "unit_id", "building_name", "street_number", "street_name", "postcode", "city", "district", "region", "property_address", "country_incorporated", "class", "is_multi"]
 
 
-def records(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_rows(table(spark, folder, "ocod"), ["ocod_id"], "loaded_at", _FIELDS)
+def records(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    return latest_rows(table(spark, folder, "ocod"), ["ocod_id"], "loaded_at", [*_FIELDS, *more])
 
 
 def businesses(spark: SparkSession, folder: str) -> DataFrame:

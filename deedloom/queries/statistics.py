@@ -80,13 +80,14 @@ def bootstrap_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    return records(spark, folder).withColumn("snapshot_date", F.lit("2031-01-01").cast("date"))
+    return records(spark, folder, "expansion_size").withColumn("snapshot_date", F.lit("2031-01-01").cast("date"))
 
 
-def summarised_stats(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def summarised_stats(name: str, most_expanded: int | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    """Counts of all records or, with ``most_expanded``, of those expanded to fewer rows by their expansion_size."""
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        rows = _snapshots(spark, folder).withColumn("lad11cd", F.col("district")).withColumn("expansion_size", F.lit(1))
-        return summary_counts(rows, most_expanded=100)[name]
+        rows = _snapshots(spark, folder).withColumn("lad11cd", F.col("district"))
+        return summary_counts(rows, most_expanded=most_expanded)[name]
 
     return query
 
@@ -220,7 +221,7 @@ def bio_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     mean_median_by_area, rolling_3y_window, sales_of_years, sales_between_dates, weighted_index, mean_difference_trend, bootstrap_trend, class_crosstab, class_crosstab_shares, pivot_prices, describe_prices, region_shares, missing_by_class,
     first_last_ratio, lag_diff_monthly, months_gap_change, top_customers, bottom_customers, balance_concentration, winsorised, large_titles, class_report, rule_performance, entity_prf, entity_prf_pooled, entity_errors, entity_diagnosis, bio_round_trip,
-)} | {f"summarised_stats_{name}": summarised_stats(name) for name in ("multi", "multi_lad", "region_class", "country")}
+)} | {f"summarised_stats_{name}{end}": summarised_stats(name, most) for name in ("multi", "multi_lad", "region_class", "country") for end, most in (("", None), ("_below_100", 100))}
 
 _RECORDS = "records AS (SELECT * FROM ocod QUALIFY row_number() OVER (PARTITION BY ocod_id ORDER BY loaded_at DESC) = 1)"
 _SALES = "sales AS (SELECT DISTINCT * FROM price_paid_transactions), homes AS (SELECT * FROM sales WHERE property_type IN ('D', 'S', 'F', 'T') AND ppd_category_type = 'A' AND msoa11cd IS NOT NULL)"
@@ -307,3 +308,4 @@ SELECT matched_rule, CAST(sum(n_a) AS BIGINT) AS n, round(sum(tp) / sum(n_a), 9)
     "summarised_stats_region_class": f"WITH {_RECORDS} SELECT DATE '2031-01-01' AS snapshot_date, region, class, count(*) AS counts FROM records WHERE region IS NOT NULL AND class IS NOT NULL GROUP BY region, class",
     "summarised_stats_country": f"WITH {_RECORDS} SELECT DATE '2031-01-01' AS snapshot_date, country_incorporated, count(*) AS counts FROM records WHERE country_incorporated IS NOT NULL GROUP BY country_incorporated",
 }
+ORACLE |= {f"{k}_below_100": sql.replace("FROM records WHERE", "FROM records WHERE expansion_size < 100 AND") for k, sql in ORACLE.items() if k.startswith("summarised_stats_")}

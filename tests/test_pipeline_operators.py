@@ -339,6 +339,18 @@ def test_pipeline_query_expands_long_ranges(spark, monkeypatch):
     assert (out.n, out.units, out.size) == (100_003, 100_003, 100_003)
 
 
+def test_summary_queries_use_the_expansion_size(spark, monkeypatch):
+    """The plain counts hold all records; those below 100 leave out large and unknown expansions."""
+    from deedloom.queries import properties, statistics
+
+    schema = "ocod_id long, " + ", ".join(f"{c} {'boolean' if c == 'is_multi' else 'string'}" for c in properties._FIELDS) + ", expansion_size int, loaded_at timestamp"
+    row = {c: "x" for c in properties._FIELDS} | {"class": "residential", "is_multi": True, "loaded_at": datetime(2031, 1, 1)}
+    ocod = spark.createDataFrame([row | {"ocod_id": i, "expansion_size": n} for i, n in enumerate((1, 99, 100, 259, None))], schema)
+    monkeypatch.setattr(properties, "table", lambda spark, folder, name: ocod)
+    for name in ("multi", "multi_lad", "region_class", "country"):
+        assert [statistics.QUERIES[f"summarised_stats_{name}{end}"](spark, "").first().counts for end in ("", "_below_100")] == [5, 2]
+
+
 def test_stream(spark, tmp_path):
     source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     inputs = _pipeline_inputs(spark)
