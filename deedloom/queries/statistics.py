@@ -24,8 +24,10 @@ def _sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _months(spark: SparkSession, folder: str) -> DataFrame:
-    """The first days of months from a year after the first sale on, as snapshots."""
-    return _sales(spark, folder).select(F.trunc("date_of_transfer", "month").alias("snapshot_date")).where(F.col("snapshot_date").isNotNull() & (F.col("snapshot_date") >= F.lit("2029-01-01"))).distinct()
+    """The first days of months with sales, from three years after the first sale's month on (their windows are whole), as snapshots."""
+    months = _sales(spark, folder).select(F.trunc("date_of_transfer", "month").alias("snapshot_date")).where(F.col("snapshot_date").isNotNull()).distinct()
+    first = months.agg(F.add_months(F.min("snapshot_date"), 36).alias("first"))
+    return months.join(F.broadcast(first), F.col("snapshot_date") >= F.col("first")).select("snapshot_date")
 
 
 def mean_median_by_area(spark: SparkSession, folder: str) -> DataFrame:

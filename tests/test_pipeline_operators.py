@@ -351,6 +351,17 @@ def test_summary_queries_use_the_expansion_size(spark, monkeypatch):
         assert [statistics.QUERIES[f"summarised_stats_{name}{end}"](spark, "").first().counts for end in ("", "_below_100")] == [5, 2]
 
 
+def test_rolling_query_starts_with_the_sales(spark, monkeypatch):
+    """Windows begin three years after the first sale, whenever that was."""
+    from deedloom.queries import statistics
+
+    days = [date(2019, 5, 7), date(2022, 4, 30), date(2022, 5, 1), date(2022, 5, 9), date(2022, 8, 1)]
+    sales = spark.createDataFrame([(100 * (i + 1), d, "D", "A", "m1") for i, d in enumerate(days)], "price int, date_of_transfer date, property_type string, ppd_category_type string, msoa11cd string")
+    monkeypatch.setattr(statistics, "table", lambda spark, folder, name: sales)
+    got = {(r.snapshot_date, r.price_sum, r.n) for r in statistics.rolling_3y_window(spark, "").collect()}
+    assert got == {(date(2022, 5, 1), 100 + 200 + 300, 3), (date(2022, 8, 1), 200 + 300 + 400 + 500, 4)}
+
+
 def test_stream(spark, tmp_path):
     source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     inputs = _pipeline_inputs(spark)
