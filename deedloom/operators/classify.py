@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedloom.operators.expand import RANGE
+from deedloom.plans.sizes import hot_keys, salted_left_join
 
 # Patterns of the default rules; all but the range are used without regard to case.
 LAND_FIRST = r"^(?:land|plot)"
@@ -93,12 +94,14 @@ def fill_unknown_classes(df: DataFrame, group: str = "title_number", class_col:
     Only rows with ``where`` true take part. A group with several known classes gives its unknown rows once for each;
     rows of groups without any stay. Other columns don't change. A null class is not known and not unknown.
 
-    The known classes of a group are few whatever its size, and are made distinct before the join.
+    The known classes of a group are few whatever its size, and are made distinct before the join, in which the rows of
+    groups that ask much are spread over tasks.
     """
     part = F.coalesce(F.col(where), F.lit(False))
     known = df.where(part & F.col(class_col).isNotNull() & ~F.col(class_col).isin(*excluded)).select(F.col(group).alias("_group"), F.col(class_col).alias("_class")).distinct()
     asks = part & (F.col(class_col) == unknown)
-    filled = df.where(asks).join(known, F.col(group) == F.col("_group"), "left")
+    asking = df.where(asks).withColumn("_group", F.col(group))
+    filled = salted_left_join(asking, known, "_group", F.struct(*[F.col(f"`{c}`") for c in df.columns]), hot_keys(asking.select("_group"), "_group"))
     filled = filled.withColumn("was_filled", F.col("_class").isNotNull()).withColumn(class_col, F.coalesce("_class", class_col)).drop("_group", "_class")
     return filled.unionByName(df.where(~F.coalesce(asks, F.lit(False))).withColumn("was_filled", F.lit(False)))
 

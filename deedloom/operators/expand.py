@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deedloom.functions.values import let
 from deedloom.plans.ordered import numbered
+from deedloom.plans.sizes import repeated
 
 # Fixed value: a range of numbers.
 RANGE = r"\d+[a-z]?\s?(?:to|-|/)\s?\d+[a-z]?\b"
@@ -13,15 +15,27 @@ RANGE = r"\d+[a-z]?\s?(?:to|-|/)\s?\d+[a-z]?\b"
 LARGE = 100
 
 
-def all_numbers(c: Column) -> Column:
-    """Every number from the least to the greatest in the text; numbers that don't fit an integer are left out."""
-    found = F.array_compact(F.transform(F.regexp_extract_all(c, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("int")))
-    return F.when(F.size(found) > 0, F.sequence(F.array_min(found), F.array_max(found)))
+def number_range(c: Column, which: Column) -> Column:
+    """STRUCT<first, step, n>: the numbers from the least to the greatest in the text, only the odd or even ones if ``which`` says exactly so; null if it holds none.
+
+    Numbers that don't fit an integer are left out. The range is never written out here, however wide it is.
+    """
+    found = F.array_compact(F.transform(F.regexp_extract_all(c, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("int").cast("bigint")))
+
+    def ranged(ns: Column) -> Column:
+        lo, hi = F.array_min(ns), F.array_max(ns)
+        halved = F.coalesce(which.isin("odd", "even"), F.lit(False))
+        first = F.when(halved & ((lo % 2 == 0) == (which == "odd")), lo + 1).otherwise(lo)
+        step = F.when(halved, 2).otherwise(1).cast("bigint")
+        n = F.when(first > hi, F.lit(0).cast("bigint")).otherwise(F.call_function("div", hi - first, step) + 1)
+        return F.when(F.size(ns) > 0, F.struct(first.alias("first"), step.alias("step"), n.alias("n")))
+
+    return let(found, ranged)
 
 
-def of_parity(numbers: Column, which: Column) -> Column:
-    """Only the odd or even numbers if ``which`` says exactly so, else all."""
-    return F.filter(numbers, lambda n: F.when(which == "odd", n % 2 == 1).when(which == "even", n % 2 == 0).otherwise(True))
+def _size(n: Column) -> Column:
+    """A number of rows as an integer; the one range that has a number more than integers go stays at the last of them."""
+    return F.least(n, F.lit(2**31 - 1)).cast("int")
 
 
 def needs_expansion(df: DataFrame, class_col: str = "class") -> DataFrame:
@@ -30,39 +44,37 @@ def needs_expansion(df: DataFrame, class_col: str = "class") -> DataFrame:
     return df.where((F.col(class_col) == "residential") & (ranged("unit_id") | (F.col("unit_id").isNull() & ranged("street_number"))))
 
 
-def expand_column(df: DataFrame, column: str, min_count: int = 1, large: int = LARGE, most: int | None = None) -> DataFrame:
+def expand_column(df: DataFrame, column: str, min_count: int = 1, large: int = LARGE) -> DataFrame:
     """One row for each number of the range in ``column``, which then holds the number; adds expansion_size and large_expansion.
 
     number_filter (odd, even, else all; null is all) selects the numbers. A row with no more than ``min_count`` numbers
-    stays as it is; its size says how many there were, 0 also for a text without any. ``most`` leaves rows with more
-    numbers whole (they keep their size and flag); by default all are expanded. An empty table stays empty.
+    stays as it is; its size says how many there were, 0 also for a text without any. Ranges of any width come out whole,
+    piece by piece. An empty table stays empty.
     """
-    numbers = of_parity(all_numbers(F.col(column)), F.coalesce("number_filter", F.lit("none")))
-    size = F.coalesce(F.size(numbers), F.lit(0))
-    size = F.when(size < 0, 0).otherwise(size)
-    fits = F.lit(True) if most is None else size <= most
-    values = F.when((size > min_count) & fits, F.transform(numbers, lambda n: n.cast("string"))).otherwise(F.array(F.col(column)))
-    sized = df.withColumn("expansion_size", size.cast("int")).withColumn("large_expansion", F.col("expansion_size") > large)
-    return sized.select(*[F.col(f"`{c}`") for c in sized.columns if c != column], F.explode(values).alias(column)).select(*[F.col(f"`{c}`") for c in sized.columns])
+    added = ["expansion_size", "large_expansion"]
+    sized = df.drop(*added).withColumn("_range", number_range(F.col(column), F.col("number_filter"))).withColumn("_n", F.coalesce("_range.n", F.lit(0).cast("bigint")))
+    rows = repeated(sized, F.when(F.col("_n") > min_count, F.col("_n")).otherwise(1), "_at")
+    value = F.when(F.col("_n") > min_count, (F.col("_range.first") + F.col("_range.step") * F.col("_at")).cast("string")).otherwise(F.col(column))
+    return rows.withColumns({column: value, "expansion_size": _size(F.col("_n")), "large_expansion": F.col("_n") > large}).drop("_range", "_n", "_at")
 
 
-def expand_numbers(df: DataFrame, class_col: str = "class", large: int = LARGE, most: int | None = None) -> DataFrame:
+def expand_numbers(df: DataFrame, class_col: str = "class", large: int = LARGE) -> DataFrame:
     """df with each row that needs it expanded, by unit if the unit is a range, else by number; other rows have size 1.
 
     Adds expansion_size, large_expansion, expand_block (0 not expanded, 1 by unit, 2 by number) and expanded_n (position
-    in the expansion, from 0). One pass: no row is read twice.
+    in the expansion, from 0). One pass: no row is read twice, and ranges of any width come out whole, piece by piece.
     """
     ranged = lambda c: F.coalesce(F.col(c).rlike(RANGE), F.lit(False))
     home = F.coalesce(F.col(class_col) == "residential", F.lit(False))
     block = F.when(home & ranged("unit_id"), 1).when(home & F.col("unit_id").isNull() & ranged("street_number"), 2).otherwise(0)
     text = F.when(F.col("expand_block") == 1, F.col("unit_id")).when(F.col("expand_block") == 2, F.col("street_number"))
-    numbers = of_parity(all_numbers(text), F.coalesce("number_filter", F.lit("none")))
-    size = F.when(F.col("expand_block") == 0, 1).otherwise(F.size(numbers))
-    fits = F.lit(True) if most is None else F.col("expansion_size") <= most
-    values = F.when((F.col("expand_block") > 0) & (F.col("expansion_size") > 1) & fits, F.transform(numbers, lambda n: n.cast("string"))).otherwise(F.array(text))
-    out = df.withColumn("expand_block", block).withColumn("expansion_size", size.cast("int")).withColumn("large_expansion", F.col("expansion_size") > large)
-    out = out.select("*", F.posexplode(values).alias("expanded_n", "_value"))
-    return out.withColumns({"unit_id": F.when(F.col("expand_block") == 1, F.col("_value")).otherwise(F.col("unit_id")), "street_number": F.when(F.col("expand_block") == 2, F.col("_value")).otherwise(F.col("street_number"))}).drop("_value")
+    out = df.withColumn("expand_block", block).withColumn("_range", number_range(text, F.col("number_filter")))
+    out = out.withColumn("_n", F.when(F.col("expand_block") == 0, F.lit(1).cast("bigint")).otherwise(F.coalesce("_range.n", F.lit(0).cast("bigint"))))
+    out = out.withColumns({"expansion_size": _size(F.col("_n")), "large_expansion": F.col("_n") > large, "_several": (F.col("expand_block") > 0) & (F.col("_n") > 1)})
+    out = repeated(out, F.when(F.col("_several"), F.col("_n")).otherwise(1), "_at")
+    value = (F.col("_range.first") + F.col("_range.step") * F.col("_at")).cast("string")
+    put = lambda c, b: F.when(F.col("_several") & (F.col("expand_block") == b), value).otherwise(F.col(c))
+    return out.withColumns({"unit_id": put("unit_id", 1), "street_number": put("street_number", 2), "expanded_n": _size(F.col("_at"))}).drop("_range", "_n", "_several", "_at")
 
 
 def unique_ids(df: DataFrame, order: list[str | Column], title: str = "title_number") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deedloom.functions.text import last_number, street_key
 from deedloom.functions.values import compact
 from deedloom.plans.ordered import filled_forward
+from deedloom.plans.sizes import nulls_apart
 
 AREAS = ("oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
 
@@ -15,11 +16,14 @@ AREAS = ("oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
 def add_areas(df: DataFrame, lookup: DataFrame) -> DataFrame:
     """df with postcode2, the lookup's area codes (null if it has no such postcode), street_number2 and street_name2.
 
-    The lookup must have one row a postcode; whether it is broadcast is left to its size. Area columns that df has are replaced.
+    The lookup must have one row a postcode; whether it is broadcast is left to its size. Rows without postcode find nothing
+    and are spread over tasks. Area columns that df has are replaced.
     """
     areas = [c for c in lookup.columns if c != "postcode2"]
     keyed = df.drop(*areas).withColumn("postcode2", compact(F.col("postcode")))
-    located = keyed.join(lookup.select("postcode2", *areas), "postcode2", "left")
+    # Equal addresses may fall to one piece; what matters is that rows without postcode don't.
+    key = nulls_apart(F.col("postcode2"), F.struct("street_name", "street_number", *[c for c in ("title_number", "building_name", "unit_id") if c in df.columns]))
+    located = keyed.join(lookup.select(F.col("postcode2").alias("_key"), *areas), key == F.col("_key"), "left").drop("_key")
     return located.withColumns({"street_number2": last_number(F.col("street_number")), "street_name2": F.lower(street_key(F.col("street_name")))})
 
 
@@ -32,7 +36,9 @@ def fill_by_district(df: DataFrame, districts: DataFrame) -> DataFrame:
 def _fill_from(df: DataFrame, gazetteer: DataFrame, key: str, sets: tuple[str, ...], mark: str) -> DataFrame:
     named = gazetteer.select(F.lower(key).alias("_key"), F.col("lad11cd").alias("_lad"), *[F.col(c).alias(f"_{c}") for c in sets], F.col("fraction").alias("_fraction"))
     hit = F.col("lsoa11cd").isNull() & F.col("_lsoa11cd").isNotNull()
-    joined = df.join(named, (F.when(F.col("lsoa11cd").isNull(), F.col(key)) == F.col("_key")) & (F.col("lad11cd") == F.col("_lad")), "left")
+    # Located rows, most of all, ask nothing: their keys differ from the gazetteer's and from one another's.
+    asked = nulls_apart(F.when(F.col("lsoa11cd").isNull(), F.col(key)), F.struct("street_number", "street_name2", "postcode2"))
+    joined = df.join(named, (asked == F.col("_key")) & (F.col("lad11cd") == F.col("_lad")), "left")
     # All of a row's codes change by the same test, so it is made once, before any of them does.
     joined = joined.withColumn("_hit", hit)
     changed = {c: F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)) for c in sets}

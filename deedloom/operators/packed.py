@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from deedloom.functions.addresses import POSTCODE, STREETS, STREETS_SHORT, UNITS
 from deedloom.functions.values import let
+from deedloom.plans.sizes import repeated
 
-#: A range of so many numbers or more is kept as it is written, as one value, unless the caller says otherwise.
-MAX_RANGE = 100_000
 #: A title's positions are integers, so no range has more values; a longer one is one value as it is written.
 MOST_VALUES = 2**31 - 1
-#: Values of a range that one row holds at a time.
-PIECE = 65_536
 
 _PARITY = r"(?i)\b(odd|even)"
 #: The first word that can't be part of a list of values ends the list.
@@ -46,7 +43,7 @@ def _item(text: Column, first: Column | None = None, step: Column | None = None,
     return F.struct(text.alias("text"), (none if first is None else first).alias("first"), (none if step is None else step).alias("step"), (F.lit(1).cast("bigint") if n is None else n).alias("n"))
 
 
-def _numbers(item: Column, max_range: int | None) -> Column:
+def _numbers(item: Column) -> Column:
     """The item of one delimited piece, a range or the bare value; none if it holds no value."""
     first, last = F.regexp_extract(item, _ITEM, 1), F.regexp_extract(item, _ITEM, 2)
     lo, hi = first.try_cast("bigint"), last.try_cast("bigint")
@@ -57,7 +54,7 @@ def _numbers(item: Column, max_range: int | None) -> Column:
     # By division without fractions; a range of the other parity only has no numbers.
     n = F.when((hi - start) * step < 0, F.lit(0).cast("bigint")).otherwise(F.call_function("div", hi - start, stride) + 1)
     bare = F.when(last == "", first).otherwise(F.regexp_extract(item, rf"(?i)^(?:{UNITS}\s+)?([0-9]+[A-Za-z]?\s*(?:[-–—]|to)\s*[0-9]+[A-Za-z]?)", 1))
-    short = F.abs(hi - lo) < (MOST_VALUES if max_range is None else max_range)
+    short = F.abs(hi - lo) < MOST_VALUES
     ranged = let(F.array(_item(bare, start, stride, n)), lambda x: F.filter(x, lambda i: i["n"] > 0))
     return F.when((last != "") & lo.isNotNull() & hi.isNotNull() & short, ranged).when(first != "", F.array(_item(bare))).otherwise(F.array().cast(_ITEMS))
 
@@ -67,7 +64,7 @@ def _count(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("bigint"), lambda a, i: a + i["n"])
 
 
-def _list_items(body: Column, units: Column, plural: Column, max_range: int | None) -> Column:
+def _list_items(body: Column, units: Column, plural: Column) -> Column:
     """Items of the list that ``body`` begins with.
 
     Split on quote characters: odd pieces are literals; even pieces are cut at the first word that ends a list, and
@@ -81,7 +78,7 @@ def _list_items(body: Column, units: Column, plural: Column, max_range: int | No
     start = F.struct(F.array().cast(_ITEMS).alias("items"), F.lit(False).alias("over"), F.lit("").alias("rest"), F.lit(False).alias("comma"))
 
     def step(acc: Column, p: Column) -> Column:
-        items = F.flatten(F.transform(F.split(p["head"], _DELIMITER), lambda x: _numbers(_strip(x), max_range)))
+        items = F.flatten(F.transform(F.split(p["head"], _DELIMITER), lambda x: _numbers(_strip(x))))
         added = F.when(p["literal"], F.array(_item(p["text"]))).otherwise(items)
         return F.when(acc["over"], acc).otherwise(F.struct(
             F.concat(acc["items"], added).alias("items"), p["ends"].alias("over"),
@@ -98,14 +95,14 @@ def _list_items(body: Column, units: Column, plural: Column, max_range: int | No
     return let(F.aggregate(pieces, start, step), without_house)
 
 
-def _packed_items(text: Column, max_range: int | None) -> Column:
+def _packed_items(text: Column) -> Column:
     """The items packed in an address text; empty if they are at most one value."""
     none = F.array().cast(_ITEMS)
     several = lambda v: F.when(_count(v) > 1, v).otherwise(none)
-    return F.when(text.rlike(_MAY_PACK), let(let(_straight(text), lambda q: _items_of(q, max_range)), several)).otherwise(none)
+    return F.when(text.rlike(_MAY_PACK), let(let(_straight(text), _items_of), several)).otherwise(none)
 
 
-def packed_values(text: Column, max_range: int = MAX_RANGE) -> Column:
+def packed_values(text: Column) -> Column:
     """ARRAY<STRING>: the values packed in an address text, in the order written; empty if it holds at most one.
 
     The values are the units if units are listed, else the house numbers; with several whole addresses, one unit (else
@@ -113,11 +110,11 @@ def packed_values(text: Column, max_range: int = MAX_RANGE) -> Column:
     value; a range stands for its numbers, or for the odd or even ones if it says so. A range of house numbers
     after a unit or a building's name belongs to the building.
 
-    Cases: null, blank and texts of any other form give an empty array. Ranges of ``max_range`` numbers or more are one value,
-    as written; falling ranges fall. Values may repeat; each occurrence counts.
+    Cases: null, blank and texts of any other form give an empty array. Falling ranges fall. Values may repeat; each
+    occurrence counts. The array holds all of a text's values, so for rows use split_packed, which never builds it.
     """
     numbers = lambda i: F.transform(F.sequence(i["first"], i["first"] + i["step"] * (i["n"] - 1), i["step"]), lambda n: n.cast("string"))
-    return F.flatten(F.transform(_packed_items(text, max_range), lambda i: F.when(i["first"].isNull(), F.array(i["text"])).otherwise(numbers(i))))
+    return F.flatten(F.transform(_packed_items(text), lambda i: F.when(i["first"].isNull(), F.array(i["text"])).otherwise(numbers(i))))
 
 
 def _straight(text: Column) -> Column:
@@ -141,36 +138,34 @@ def _one_of(address: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in (literal, unit, house, of_building)])
 
 
-def _items_of(quoted: Column, max_range: int | None) -> Column:
+def _items_of(quoted: Column) -> Column:
     lead, number = rf"(?is)^\s*{UNITS}\s+(?=[\"0-9]|[A-Z]\b)", r"(?i)^\s*(?:nos?\.?\s*|numbers?\s+)?(?=[0-9])"
     units, plural = quoted.rlike(lead), quoted.rlike(r"(?i)^\s*[a-z]+s\s")
     body = F.when(units, F.regexp_replace(quoted, lead, "")).when(quoted.rlike(number), F.regexp_replace(quoted, number, ""))
-    return let(_whole_addresses(quoted), lambda whole: F.when(F.size(whole) > 1, F.transform(F.filter(F.transform(whole, _one_of), lambda v: v.isNotNull()), lambda v: _item(v))).otherwise(_list_items(body, units, plural, max_range)))
+    return let(_whole_addresses(quoted), lambda whole: F.when(F.size(whole) > 1, F.transform(F.filter(F.transform(whole, _one_of), lambda v: v.isNotNull()), lambda v: _item(v))).otherwise(_list_items(body, units, plural)))
 
 
-def split_packed(df: DataFrame, key: str, text: str, max_range: int | None = MAX_RANGE) -> DataFrame:
+def split_packed(df: DataFrame, key: str, text: str) -> DataFrame:
     """(<key>, pos, val): one row for each value packed in ``text``, pos from 1; texts with at most one value have no row.
 
     Rows of a key must carry the same text (with several the greatest counts); they are combined before the shuffle,
-    so a key of any number of rows is parsed once. Rows with a null key are one group. Cases as in packed_values;
-    with ``max_range`` None ranges of any length are written out, piece by piece, so that none has to fit in memory.
-    An empty table gives no rows; other columns are ignored.
+    so a key of any number of rows is parsed once. Rows with a null key are one group. Cases as in packed_values; ranges
+    of any length are written out, piece by piece, so that none has to fit in memory. An empty table gives no rows; other
+    columns are ignored.
     """
     texts = df.groupBy(F.col(key).alias("_key")).agg(F.max(text).alias("_text"))
-    items = texts.select("_key", F.posexplode(_packed_items(F.col("_text"), max_range)).alias("_i", "_item"))
+    items = texts.select("_key", F.posexplode(_packed_items(F.col("_text"))).alias("_i", "_item")).select("_key", "_i", *[F.col(f"_item.{c}").alias(f"_{c}") for c in ("text", "first", "step", "n")])
     # What the items before an item stand for comes before it; the rows of a key are together already.
-    before = F.coalesce(F.sum("_item.n").over(Window.partitionBy("_key").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    last = F.col("_item.n") - 1
-    pieces = items.withColumn("_before", before).select("_key", "_before", "_item", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(PIECE).cast("bigint"))).alias("_from"))
-    values = pieces.select("_key", "_before", "_item", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + PIECE - 1, last), F.lit(1).cast("bigint"))).alias("_j"))
-    val = F.when(F.col("_item.first").isNull(), F.col("_item.text")).otherwise((F.col("_item.first") + F.col("_item.step") * F.col("_j")).cast("string"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_key").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    values = repeated(items.withColumn("_before", before), F.col("_n"), "_j")
+    val = F.when(F.col("_first").isNull(), F.col("_text")).otherwise((F.col("_first") + F.col("_step") * F.col("_j")).cast("string"))
     return values.select(F.col("_key").alias(key), (F.col("_before") + F.col("_j") + 1).cast("int").alias("pos"), val.alias("val"))
 
 
 def packed_kind(text: Column) -> Column:
     """What an address text packs: ``addresses``, ``houses`` or ``units``; null if it holds at most one value."""
     kind = lambda q: F.when(F.size(_whole_addresses(q)) > 1, "addresses").when(q.rlike(rf"(?i)^\s*{UNITS}\s"), "units").otherwise("houses")
-    return F.when(F.size(_packed_items(text, None)) > 0, let(_straight(text), kind))
+    return F.when(F.size(_packed_items(text)) > 0, let(_straight(text), kind))
 
 
 def packs_places(text: Column) -> Column:
@@ -178,5 +173,5 @@ def packs_places(text: Column) -> Column:
 
     Unit lists, the longest of the texts, are only looked at for a second address.
     """
-    places = lambda q: (F.size(_whole_addresses(q)) > 1) | (~q.rlike(rf"(?i)^\s*{UNITS}\s") & (_count(_items_of(q, None)) > 1))
+    places = lambda q: (F.size(_whole_addresses(q)) > 1) | (~q.rlike(rf"(?i)^\s*{UNITS}\s") & (_count(_items_of(q)) > 1))
     return F.coalesce(F.when(text.rlike(_MAY_PACK), let(_straight(text), places)), F.lit(False))

@@ -39,7 +39,7 @@ def parse_titles(titles: DataFrame, make: Callable[[], Labeller] = RuleLabeller)
 
 
 def run_pipeline(
-    titles: DataFrame, lookup: DataFrame, businesses: DataFrame, buildings: DataFrame, districts: DataFrame, streets: DataFrame, make: Callable[[], Labeller] = RuleLabeller, rules: Sequence[Rule] | None = None, most_expanded: int | None = None
+    titles: DataFrame, lookup: DataFrame, businesses: DataFrame, buildings: DataFrame, districts: DataFrame, streets: DataFrame, make: Callable[[], Labeller] = RuleLabeller, rules: Sequence[Rule] | None = None
 ) -> DataFrame:
     """The OUTPUT columns (and snapshot_date, if titles has it) for every property of every snapshot.
 
@@ -60,7 +60,7 @@ def run_pipeline(
     flagged = unique_ids(add_existence_flags(filled, businesses), order)
     classed = classify(flagged, default_rules() if rules is None else rules)
     kept = drop_repeated_classes(fill_unknown_classes(classed), [~F.col("was_filled"), *order])
-    expanded = cut(expand_numbers(kept, most=most_expanded))
+    expanded = cut(expand_numbers(kept))
     last = [F.col("expand_block"), F.col("class") != "residential", ~F.col("was_filled"), "datapoint_id", "leaf_pos", "expanded_n"]
     numbered = unique_ids(expanded, last).withColumn("title_number", F.col("_title")).withColumn("unique_id", F.concat_ws("-", "_title", F.col("multi_id").cast("string")))
     present = {c: F.lit(None).cast("string") for c in OUTPUT if c not in numbered.columns}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +31,18 @@ def local_session(app: str = "deedloom", cores: int | str = "*", **conf: str) ->
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder; one of our own only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The checkpoint folder that the session names; one of our own only on a local master (tests), where executors share the machine.
+
+    A cluster without spark.checkpoint.dir is an error: no folder of the driver's machine could be read by its executors.
+    """
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(?:\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="deedloom-checkpoint-", dir=os.environ.get("TMPDIR"))
-        spark.sparkContext.setCheckpointDir(folder)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
     return folder
 
 

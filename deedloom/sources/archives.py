@@ -7,16 +7,23 @@ import io
 import re
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from itertools import islice
+from typing import IO
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedloom.functions.text import clean_street_number, snapshot_month, street_key
 from deedloom.functions.values import compact
 
-#: Bytes of a member that are handed on at a time.
-CHUNK = 4 << 20
+#: Records of a member that are handed on at a time.
+RECORDS = 10_000
+#: File systems whose files are read as streams; others' come whole through Spark.
+STREAMED = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
 
 
 def member_of(names: Sequence[str], wanted: str | None = None, pattern: str | None = None) -> str:
@@ -27,28 +34,48 @@ def member_of(names: Sequence[str], wanted: str | None = None, pattern: str | No
     return fits[0]
 
 
-def read_zipped_lines(spark: SparkSession, path: str, member: str | None = None, pattern: str | None = None, largest: bool = False, encoding: str = "utf-8") -> DataFrame:
-    """(file, line_no, line): lines of a delimited member of each archive at ``path``; undecodable bytes are dropped.
+@contextmanager
+def _opened(path: str, content: bytes | None) -> Iterator[IO[bytes]]:
+    """A file to seek in: in memory if its content is given, else of any file system that pyarrow knows."""
+    if content is not None:
+        yield io.BytesIO(content)
+    elif path.startswith(("file:", "/")):
+        with open(re.sub(r"^file:/*", "/", path), "rb") as f:
+            yield f
+    else:
+        system, name = pafs.FileSystem.from_uri(quote(path, safe=":/@?&=%+,"))
+        with system.open_input_file(name) as f:
+            yield f
 
-    Archives are read in parallel, each by one task that streams the member through a bounded buffer; only
-    their names pass through the driver. A zip can't be split, so big archives are best repacked once into a table.
+
+def read_zipped_records(spark: SparkSession, path: str, member: str | None = None, pattern: str | None = None, largest: bool = False, encoding: str = "utf-8", delimiter: str = ",", first_only: bool = False) -> DataFrame:
+    """(file, record_no, fields): records of a delimited member of each archive at ``path``; undecodable bytes are dropped.
+
+    Values in quotes may hold delimiters, line ends and doubled quotes; empty values are null. ``first_only`` stops after the
+    first record of each file.
+
+    Archives are read in parallel, each by one task that streams the member through a bounded buffer, from any file
+    system that pyarrow opens (local, HDFS, object stores); from others whole files come through Spark's reader. A zip can't
+    be split, so big archives are best repacked once into a table.
     """
-    files = spark.read.format("binaryFile").load(path).select("path")
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", path) or re.match(r"([^:]*)", spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"))
+    content = F.lit(None).cast("binary") if scheme.group(1).lower() in STREAMED else F.col("content")
+    files = spark.read.format("binaryFile").load(path).select("path", content.alias("content"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(2**31 - 1)
         for b in batches:
-            for name in b["path"]:
-                local = re.sub(r"^file:/*", "/", name)
-                with zipfile.ZipFile(local) as z:
+            for name, content in zip(b["path"], b["content"]):
+                with _opened(name, content) as opened, zipfile.ZipFile(opened) as z:
                     chosen = max(z.infolist(), key=lambda i: i.file_size).filename if largest else member_of(z.namelist(), member, pattern)
                     with z.open(chosen) as f:
-                        text = io.TextIOWrapper(f, encoding=encoding, errors="ignore", newline=None)
-                        number = 0
-                        while lines := text.readlines(CHUNK):
-                            yield pd.DataFrame({"file": name, "line_no": range(number, number + len(lines)), "line": [x.rstrip("\n") for x in lines]})
-                            number += len(lines)
+                        records = csv.reader(io.TextIOWrapper(f, encoding=encoding, errors="ignore", newline=""), delimiter=delimiter)
+                        for number, some in enumerate(iter(lambda: list(islice(records, 1 if first_only else RECORDS)), [])):
+                            yield pd.DataFrame({"file": name, "record_no": range(number * RECORDS, number * RECORDS + len(some)), "fields": [[x or None for x in r] for r in some]})
+                            if first_only:
+                                break
 
-    return files.mapInPandas(run, "file string, line_no bigint, line string")
+    return files.mapInPandas(run, "file string, record_no bigint, fields array<string>")
 
 
 def normal_name(name: str) -> str:
@@ -58,19 +85,17 @@ def normal_name(name: str) -> str:
 def read_zipped_csv(spark: SparkSession, path: str, member: str | None = None, pattern: str | None = None, columns: Sequence[str] | Callable[[str], bool] | None = None, encoding: str = "utf-8") -> DataFrame:
     """Columns of a CSV member with a header, as strings, and ``file``; columns by list or by a test of their names.
 
-    The header is read from the first archive and holds for all. Values in quotes may hold delimiters, not line ends.
+    The header is read from the first archive and holds for all; records that lack fields have nulls there.
     """
-    lines = read_zipped_lines(spark, path, member, pattern, encoding=encoding)
-    first = lines.where("line_no = 0").orderBy("file").first()
+    first = read_zipped_records(spark, path, member, pattern, encoding=encoding, first_only=True).orderBy("file").first()
     if first is None:
         raise ValueError(f"nothing to read at {path}")
-    header = next(csv.reader([first.line]))
-    fields = ", ".join(f"c{i} string" for i in range(len(header)))
-    parsed = lines.where("line_no > 0").select("file", F.from_csv("line", F.lit(fields), {"escape": '"'}).alias("r"))
+    header = [h or "" for h in first.fields]
+    parsed = read_zipped_records(spark, path, member, pattern, encoding=encoding).where((F.col("record_no") > 0) & (F.size("fields") > 0))
     keep = [(i, n) for i, n in enumerate(header) if columns is None or (columns(n) if callable(columns) else n in columns)]
     if columns is not None and not callable(columns) and (missing := set(columns) - set(header)):
         raise ValueError(f"columns not in the file: {sorted(missing)}")
-    return parsed.select("file", *[F.col(f"r.c{i}").alias(n) for i, n in keep])
+    return parsed.select("file", *[F.get("fields", F.lit(i)).alias(n) for i, n in keep])
 
 
 # Columns of a title snapshot, by normalised name, and what some are called instead.
@@ -80,7 +105,7 @@ TITLE_ALIASES = {"country_incorporated_1": "country_incorporated", "country_inco
 
 def read_titles(spark: SparkSession, path: str, keep: Sequence[str] = TITLE_COLUMNS) -> DataFrame:
     """Title snapshots from CSV files or zips: the columns kept, snapshot_date from the file's name; rows without an address are dropped."""
-    raw = read_zipped_csv(spark, path, columns=lambda n: TITLE_ALIASES.get(normal_name(n), normal_name(n)) in keep) if path.endswith(".zip") or "*.zip" in path else spark.read.csv(path, header=True).select("*", F.col("_metadata.file_path").alias("file"))
+    raw = read_zipped_csv(spark, path, columns=lambda n: TITLE_ALIASES.get(normal_name(n), normal_name(n)) in keep) if path.endswith(".zip") or "*.zip" in path else spark.read.csv(path, header=True, multiLine=True, escape='"').select("*", F.col("_metadata.file_path").alias("file"))
     names = {c: TITLE_ALIASES.get(normal_name(c), normal_name(c)) for c in raw.columns}
     if "property_address" not in names.values():
         raise ValueError("there is no property_address column")
@@ -125,11 +150,10 @@ HOUSE_NAME = r"((?<!\S)(?:(?!\b(?:\)|\(|r\/o|floor|floors|pt|and|annexe|room|gf|
 def read_businesses(spark: SparkSession, path: str) -> DataFrame:
     """Raw business register entries from *-separated files without header, or zips of which the largest member counts."""
     if path.endswith(".zip"):
-        parts = F.split("line", r"\*")
-        rows = read_zipped_lines(spark, path, largest=True, encoding="latin-1")
-        return rows.select(*[F.nullif(F.get(parts, F.lit(i)), F.lit("")).alias(n) for i, n in REGISTER_POSITIONS.items()])
-    raw = spark.read.csv(path, sep="*", header=False)
-    return raw.select(*[F.col(f"_c{i}").cast("string").alias(n) for i, n in REGISTER_POSITIONS.items()])
+        fields = read_zipped_records(spark, path, largest=True, encoding="latin-1", delimiter="*").where(F.size("fields") > 0)
+        return fields.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in REGISTER_POSITIONS.items()])
+    raw = spark.read.csv(path, sep="*", header=False, escape='"', encoding="iso-8859-1")
+    return raw.select(*[F.nullif(F.col(f"_c{i}").cast("string"), F.lit("")).alias(n) for i, n in REGISTER_POSITIONS.items()])
 
 
 def businesses_located(raw: DataFrame, lookup: DataFrame) -> DataFrame:

@@ -6,12 +6,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from deedloom.plans.sizes import at_most
+
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at a path, or None if there is none yet."""
+    """The parquet table at a path, or None if nothing is there. What is there and can't be read is an error, so that nobody writes over it."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -56,9 +60,13 @@ def write_span_documents(df: DataFrame, path: str) -> None:
     span_documents(df).write.mode("overwrite").json(path)
 
 
+#: Rows up to which a table is written as one file.
+ONE_FILE_ROWS = 1_000_000
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
-    """A small table as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """A small table as one CSV file with a header; a larger one than ONE_FILE_ROWS as several."""
+    (df.coalesce(1) if at_most(df, ONE_FILE_ROWS) else df).write.mode("overwrite").csv(path, header=True)
 
 
 def published_gazetteer(df: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from deedloom.operators.prices import clean_transactions, rolling_averages
 from deedloom.operators.quality import bio_labels, bio_spans, classification_report, diagnose_class, span_scores
 from deedloom.operators.trends import bootstrap_ratio, mean_differences, monthly_means, weighted_series
 from deedloom.plans.pipeline import OUTPUT, run_pipeline
+from deedloom.plans.sizes import nulls_apart, repeated, spread
 from deedloom.sources.archives import businesses_located, read_businesses, read_postcodes, read_snapshots, read_span_texts, read_titles, read_transactions, read_zipped_csv
 from deedloom.sources.downloads import Downloader, listed_in_xml, newest_first
 from deedloom.sources.sinks import ensure_table, new_partitions, span_documents, write_by_year, write_metrics, write_new_partitions, write_partitioned, write_span_documents
@@ -51,7 +52,26 @@ def test_expansion_cases(spark):
     assert one[5].expand_block == 0 and one[5].expansion_size == 1 and one[7].unit_id == "1-3" and one[7].expansion_size == 1 and one[9].expansion_size == 0
     assert {r.i for r in needs_expansion(df).collect()} == {0, 1, 2, 3, 7, 8, 9}
     assert expand_numbers(df.limit(0)).count() == 0 and expand_column(df.limit(0), "unit_id").count() == 0
-    assert expand_numbers(df, most=50).where("i = 1").count() == 1
+
+
+def test_wide_ranges_are_expanded_whole(spark):
+    """Ranges of any width: no array is made of them, and every number comes out."""
+    df = _expand(spark, ("Unit 1 - 2000000000", None, None, "residential"), ("1-150001", None, "odd", "residential"), (None, "200000 - 5", None, "residential"), ("0-2147483647", None, None, "residential"))
+    first = expand_numbers(df.where("i = 0")).limit(3).collect()
+    assert [(r.unit_id, r.expansion_size, r.large_expansion) for r in first] == [(str(n), 2_000_000_000, True) for n in (1, 2, 3)]
+    assert expand_numbers(df.where("i = 3")).first().expansion_size == 2**31 - 1
+    sizes = expand_column(df.where("i = 0"), "unit_id").limit(5).collect()
+    assert [r.expansion_size for r in sizes] == [2_000_000_000] * 5
+    whole = expand_numbers(df.where("i in (1, 2)"))
+    got = {r.i: (r.n, r.least, r.most, r.different) for r in whole.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce("unit_id", "street_number").cast("int")).alias("least"), F.max(F.coalesce("unit_id", "street_number").cast("int")).alias("most"), F.countDistinct("expanded_n").alias("different")).collect()}
+    assert got == {1: (75_001, 1, 150_001, 75_001), 2: (199_996, 5, 200_000, 199_996)}
+
+
+def test_repeated_and_nulls_apart(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 0), ("c", None), ("d", 70_000)], "k string, n int")
+    assert {r.k: (r["count"], r.most) for r in repeated(df, F.col("n"), "at").groupBy("k").agg(F.count(F.lit(1)).alias("count"), F.max("at").alias("most")).collect()} == {"a": (3, 2), "d": (70_000, 69_999)}
+    keys = [r.k for r in spark.range(500).select(nulls_apart(F.when(F.col("id") < 5, "x"), F.col("id")).alias("k")).collect()]
+    assert keys.count("x") == 5 and len(set(keys)) > 400
 
 
 def test_unique_ids(spark):
@@ -246,6 +266,11 @@ def test_sources(spark, tmp_path):
         read_postcodes(spark, str(directory / "p.zip"), member="bad.csv")
     line = lambda code, text, ident, number, street, post: "*".join(["0", "1", "2", "3", code, text, "6", ident, "8", number, street, "11", "12", "13", post, "15"])
     (tmp_path / "voa.csv").write_text("\n".join([line("CS", "SHOP", "ID", "OAK HOUSE", "OAKS ROAD", "AA1 1AA"), line("CP", "CAR PARK", "ID", "1", "X", "AA1 1AA"), line("CS", "ADVERTISING RIGHT", "ID", "1", "X", "AA1 1AA"), line("CS", "SHOP", "WESTFIELD SHOPPING CENTRE", "5", "X", "AA1 1AA"), line("CS", "SHOP", "ID", "GND FLR 12", "X", "QQ1 1QQ")]))
+    with zipfile.ZipFile(tmp_path / "quoted.zip", "w") as z:
+        z.writestr("q.csv", 'a,b\n"one\nline, and ""another""",2\n\nx\n')
+    assert [(r.a, r.b) for r in read_zipped_csv(spark, str(tmp_path / "quoted.zip")).collect()] == [('one\nline, and "another"', "2"), ("x", None)]
+    (tmp_path / "OCOD_FULL_2024_06.csv").write_text('Title Number,Property Address\nT1,"1 Oak\nRoad, ""Town"""\n')
+    assert [(r.title_number, r.property_address) for r in read_titles(spark, str(tmp_path / "OCOD_FULL_2024_06.csv")).collect()] == [("T1", '1 Oak\nRoad, "Town"')]
     with zipfile.ZipFile(tmp_path / "voa.zip", "w") as z:
         z.write(tmp_path / "voa.csv", "voa.csv")
         z.writestr("small.csv", "x")
@@ -270,6 +295,11 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "years")).count() == 3
     made = []
     make = lambda: made.append(1) or more
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        ensure_table(spark, str(tmp_path / "broken"), make).count()
+    assert made == [] and (tmp_path / "broken" / "part-0.parquet").read_bytes() == b"no parquet"
     assert ensure_table(spark, str(tmp_path / "t"), make).count() == 2 and ensure_table(spark, str(tmp_path / "t"), make).count() == 2 and made == [1]
     spans = spark.createDataFrame([(1, 5, 6, " b ", "y", "a b"), (1, 0, 1, "a", "x", "a b")], "datapoint_id int, start int, end int, text string, label string, property_address string")
     write_span_documents(spans, str(tmp_path / "json"))
@@ -386,3 +416,24 @@ def test_groups_in_pieces_equal_whole_ones(spark):
     want = df.select("id", F.row_number().over(by).alias("n"), (F.count(F.lit(1)).over(Window.partitionBy("k")) > 1).alias("m"), F.last("v", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("v"))
     got = ordered.numbered(df, "k", [F.col("o")], "n", "m").select("id", "n", "m").join(ordered.filled_forward(df, "k", [F.col("o")], ["v"]).select("id", "v"), "id").select("id", "n", "m", "v")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_checkpoints_need_a_shared_folder_on_clusters():
+    from types import SimpleNamespace
+
+    from deedloom.plans.session import checkpoint_folder
+
+    named, context = {}, SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, setCheckpointDir=lambda d: named.setdefault("dir", d))
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: named.get(k, d)))
+    with pytest.raises(ValueError):
+        checkpoint_folder(session)
+    named["spark.checkpoint.dir"] = "hdfs://shared/cut"
+    assert checkpoint_folder(session) == "hdfs://shared/cut" == named["dir"]
+
+
+def test_spread_looks_at_operators_not_names(spark, tmp_path):
+    """A path or column named like an operator changes nothing."""
+    spark.range(8).coalesce(1).select(F.col("id").alias("Join")).write.parquet(str(tmp_path / "Sort"))
+    assert spread(spark.read.parquet(str(tmp_path / "Sort"))).rdd.getNumPartitions() >= 2
+    grouped = spark.range(8).groupBy("id").count()
+    assert spread(grouped) is grouped
