@@ -16,15 +16,12 @@ class Tree:
     value: np.ndarray
 
     def predict(self, binned: np.ndarray) -> np.ndarray:
+        inner, width = len(self.feature), binned.shape[1]
+        flat, row = binned.ravel(), np.arange(len(binned)) * width
         node = np.zeros(len(binned), dtype=np.int64)
-        inner = len(self.feature)
-        rows = np.arange(len(binned))
-        while True:
-            at_inner = node < inner
-            if not at_inner.any():
-                return self.value[node - inner]
-            i = node[at_inner]
-            node[at_inner] = 2 * i + 1 + (binned[rows[at_inner], self.feature[i]] > self.threshold[i])
+        for _ in range(int(inner + 1).bit_length() - 1):
+            node = 2 * node + 1 + (flat[row + self.feature[node]] > self.threshold[node])
+        return self.value[node - inner]
 
 
 @dataclass
@@ -35,12 +32,12 @@ class BoostedTrees:
     """
 
     classes: int
-    rounds: int = 40
+    rounds: int = 50
     depth: int = 4
     rate: float = 0.2
     bins: int = 48
     smooth: float = 1.0
-    enough: float = 0.001
+    enough: float = 0.0003
     edges: list[np.ndarray] = field(default_factory=list)
     trees: list[list[Tree]] = field(default_factory=list)
     start: np.ndarray | None = None

@@ -1,9 +1,8 @@
-"""Statistics of texts that tell natural prose from lists, tables and junk, and a classifier on them."""
+"""What kind of text a text is: statistics as columns, weak labels by rules of form, and boosted trees on statistics of form."""
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -13,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedloom.llm.boosting import BoostedTrees, Calibration
+from deedloom.llm.forms import NAMES, batch_statistics, word_hashes
+from deedloom.plans.session import cut
 from deedloom.plans.sizes import spread
 
 KINDS = ("prose", "list", "table", "junk")
@@ -20,6 +21,8 @@ KINDS = ("prose", "list", "table", "junk")
 TRAIN_TEXTS, HOLDOUT_TEXTS = 12_000, 5_000
 #: Words that count as common: so many, by how many texts hold them.
 COMMON_WORDS = 150
+#: Share of a text's characters from which the rules of form label it for training.
+CLEAR = 0.6
 
 # --- Per-text statistics as Columns -------------------------------------------------------------------------------
 
@@ -29,10 +32,14 @@ def text_words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+)"), F.lit(1))
 
 
+def _written_words(c: Column) -> Column:
+    """Words that a text writes in lower case; null for null."""
+    return F.filter(F.regexp_extract_all(c, F.lit(r"(\p{L}+)"), F.lit(1)), lambda w: w == F.lower(w))
+
+
 def common_words(df: DataFrame, text: str, n: int = COMMON_WORDS) -> list[str]:
     """The n words that most texts hold in lower case (ties: in alphabetical order), over all texts; n words come to the driver."""
-    written = F.filter(F.regexp_extract_all(F.col(text), F.lit(r"(\p{L}+)"), F.lit(1)), lambda w: w == F.lower(w))
-    words = df.select(F.explode(F.array_distinct(written)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = df.select(F.explode(F.array_distinct(_written_words(F.col(text)))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return [r.word for r in words.orderBy(F.desc("n"), "word").limit(n).collect()]
 
 
@@ -68,14 +75,13 @@ def text_statistics(df: DataFrame, row_id: str, text: str, common: list[str] | N
     )
 
 
-# --- Features of the classifier -----------------------------------------------------------------------------------
+# --- Weak labels: rules of form on lines -----------------------------------------------------------------------------------
 
 _TOKEN = re.compile(r"\S+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _AMOUNT = re.compile(r"[£$€]\s?\d{1,3}(?:,\d{3})+")
 _BULLET = re.compile(r"^\s*(?:[-*•–—·▪◦‣+]\s+|\[[ xX]?\]\s|\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,5})[.)]\s+)")
 _RULE = re.compile(r"^[\s|+=¦:*_-]{4,}$")
-_END = re.compile(r"[.!?…][\"'”’»)\]]*$")
 _HTML = re.compile(r"</?[a-zA-Z][^<>]{0,80}>|&[a-z]{2,6};|\{\{.{0,20}?\}\}")
 _MOJIBAKE = re.compile(r"[ÃÂ][\x80-\xbf¡-¿]|�|â€|[¤§¶][a-z]|[a-z][¤§¶]")
 _VOWELS = frozenset("aeiouyàâäéèêëîïôöùûüœæáíóúŵŷåøAEIOUYÀÂÄÉÈÊËÎÏÔÖÙÛÜŒÆÁÍÓÚŴŶÅØ")
@@ -84,7 +90,6 @@ _HEX = re.compile(r"(?=[a-fA-F]*[0-9])[0-9a-fA-F]+")
 _FURNITURE_WORDS = frozenset(("about", "cookie", "cookies", "help", "home", "login", "menu", "next", "prev", "print", "privacy", "search", "share", "sitemap", "subscribe", "terms", "tweet"))
 _FURNITURE_PHRASES = ("all rights reserved", "back to top", "contact us", "follow us", "log in", "sign in", "skip to", "©", "«", "»")
 _SPLIT_RUN = re.compile(r"\s*(?:[;|¦•·•]|\s/\s|,\s)\s*")
-_SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)]*\s+")
 _GAP = re.compile(r"\S\s{2,}\S")
 _PARTED = re.compile(r"[\t|¦*]|,(?!\s)")
 _SYMBOL = re.compile(r"[^\w\s]|_")
@@ -236,38 +241,10 @@ def line_kinds(text: str, common: frozenset[str]) -> dict[str, float]:
     return share
 
 
-def features(text: str, common: frozenset[str]) -> list[float]:
-    """Numbers that describe a text, from its whole length."""
-    n = max(1, len(text))
-    tokens = _TOKEN.findall(text)
-    words = _LETTERS.findall(text)
-    lower = [w.lower() for w in words]
-    lines = [x.strip() for x in re.split(r"\r\n|\r|\n", text) if x.strip()]
-    sizes = [len(x) for x in lines] or [0]
-    kinds = line_kinds(text, common)
-    n_tokens, n_words = max(1, len(tokens)), max(1, len(words))
-    sentences = [s for s in _SENTENCE.split(" ".join(lines)) if s]
-    told = sum(len(s) for s in sentences if _is_sentence(s, _LETTERS.findall(s), common))
-    pairs = list(zip(lower, lower[1:]))
-    raw = text.encode("utf-8", "surrogatepass")
-    delimiters = [max((c for k, c in Counter(_marks(x, d) for x in lines).items() if k >= 2), default=0) / max(1, len(lines)) if d in text else 0.0 for d in _DELIMITERS]
-    return [
-        *(kinds[k] for k in KINDS), np.log1p(n), np.log1p(len(lines)), float(np.mean(sizes)), float(np.std(sizes)) / (1 + float(np.mean(sizes))), n_words / n_tokens,
-        sum(map(len, words)) / n_words, max(map(len, tokens), default=0) / n, sum(len(t) for t in tokens if len(t) >= 25) / n, sum(1 for t in tokens if len(t) == 1) / n_tokens,
-        sum(1 for w in lower if w in common) / n_words, sum(map(str.isdigit, text)) / n, sum(map(str.isupper, text)) / n, len(_SYMBOL.findall(text)) / n,
-        sum(1 for x in lines if _END.search(x)) / max(1, len(lines)), sum(1 for x in lines if _BULLET.match(x)) / max(1, len(lines)), len(set(lower)) / n_words, len(set(pairs)) / max(1, len(pairs)),
-        len(zlib.compress(raw, 1)) / max(1, len(raw)), _mojibake(text) / n, _markup(text) / n, _furniture(text, words) / n_tokens,
-        sum(1 for w in words if len(w) > 1 and _VOWELS.isdisjoint(w)) / n_words, told / n, len([p for p in _SPLIT_RUN.split(text) if len(p) <= 40]) / n_tokens, sum(map(len, words)) / n, *delimiters,
-    ]
-
-
-def weak_kind(shares: list[float]) -> int:
+def weak_kind(shares: dict[str, float]) -> int:
     """The kind that clearly prevails by the rules of form, or -1; for training only."""
-    prose, rest = shares[0], shares[1:]
-    if prose >= 0.6:
-        return 0
-    top = int(np.argmax(rest))
-    return top + 1 if rest[top] >= 0.6 else -1
+    top = max(KINDS, key=shares.__getitem__)
+    return KINDS.index(top) if shares[top] >= CLEAR else -1
 
 
 class KindModel:
@@ -276,45 +253,56 @@ class KindModel:
     def __init__(self, trees: BoostedTrees, calibration: Calibration, common: list[str]):
         self.trees, self.calibration, self.common = trees, calibration, common
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        return self.calibration.probabilities(self.trees.scores(x))
+    def probabilities(self, texts: list[str]) -> np.ndarray:
+        return self.calibration.probabilities(self.trees.scores(batch_statistics(texts, word_hashes(self.common))))
 
 
-def _features_of(df: DataFrame, common: list[str], keep: str) -> DataFrame:
-    words = frozenset(common)
+def _words_and_sample(docs: DataFrame, doc_id: str, text: str, marked: DataFrame) -> DataFrame:
+    """(word, kind, text, n) in one reading of the texts: words with how many texts hold them, and the marked texts (word null).
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"keep": b["keep"], "x": [features(t, words) for t in b["text"]]})
+    Both are groups of one aggregation, so the texts are read and shuffled once; equal marked texts of a kind are one row.
+    """
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(marked.select(F.col("id").alias("_id"), "kind")), "_id", "left").where(F.col("_text") != "")
+    none = F.lit(None).cast("string")
+    words = F.transform(F.array_distinct(_written_words(F.col("_text"))), lambda w: F.struct(w.alias("word"), none.alias("kind"), none.alias("text")))
+    sample = F.when(F.col("kind").isNotNull(), F.array(F.struct(none.alias("word"), F.col("kind").alias("kind"), F.col("_text").alias("text")))).otherwise(F.array().cast("array<struct<word:string,kind:string,text:string>>"))
+    return rows.select(F.explode(F.concat(words, sample)).alias("e")).groupBy("e.word", "e.kind", "e.text").agg(F.count(F.lit(1)).alias("n"))
 
-    return spread(df.select(F.col(keep).alias("keep"), "text")).mapInPandas(run, f"keep {dict(df.dtypes)[keep]}, x array<double>")
+
+#: The kind of marked texts that are to be labelled weakly.
+_WEAK = "weak"
 
 
 def train_kinds(docs: DataFrame, doc_id: str, text: str, labels: DataFrame | None = None, kind: str = "text_kind", train_texts: int = TRAIN_TEXTS, holdout_texts: int = HOLDOUT_TEXTS) -> KindModel:
     """A model of text kinds: trees on weakly labelled texts, probabilities calibrated on hand-checked ones.
 
-    Weak labels come from rules of form on the lines; texts on which they are unclear take no part. The trees are
-    trained on the ``train_texts`` texts whose ids have the least hashes, and calibrated on at most ``holdout_texts``
-    hand-checked ones (chosen likewise); what comes to the driver are so many rows of features, not texts. The common
-    words are counted over all texts.
+    Weak labels come from rules of form on the lines (line_kinds); texts on which they are unclear take no part. The rules
+    see the texts of the sample only, and what they find is no feature: the trees learn from the statistics of
+    batch_statistics. They are trained on the ``train_texts`` texts whose ids have the least hashes, and calibrated on at
+    most ``holdout_texts`` hand-checked ones (chosen likewise, and never trained on); what comes to the driver are so many
+    rows of statistics, not texts. The common words are counted over all texts, in the same pass.
     """
-    common = common_words(docs, text)
-    full = docs.where(F.col(text).isNotNull() & (F.col(text) != ""))
-    by_hash = full.select(F.col(doc_id).alias("id")).orderBy(F.xxhash64("id"), "id").limit(train_texts)
-    held = labels.select(F.col(doc_id).alias("id"), F.col(kind).alias("kind")).where(F.col("kind").isin(*KINDS)).orderBy(F.xxhash64("id"), "id").limit(holdout_texts) if labels is not None else None
-    # Both sides of the joins below are bounded by the limits above.
-    texts = full.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    if held is not None:
-        by_hash = by_hash.join(F.broadcast(held.select("id")), "id", "left_anti")
-    sample = texts.join(F.broadcast(by_hash), "id", "left_semi").withColumn("keep", F.lit("")).select("keep", "text")
-    if held is not None:
-        sample = sample.unionByName(texts.join(F.broadcast(held), "id").select(F.col("kind").alias("keep"), "text"))
-    rows = sorted(((r.keep, list(r.x)) for r in _features_of(sample, common, "keep").collect()), key=lambda r: (r[0], r[1]))
-    weak = [(x, weak_kind(x[:4])) for k, x in rows if k == ""]
-    weak = [(x, y) for x, y in weak if y >= 0] or [([0.0] * len(features("", frozenset())), 0)]
-    x, y = np.array([x for x, _ in weak]), np.array([y for _, y in weak])
-    trees = BoostedTrees(len(KINDS)).fit(x, y)
-    hand = [(x, KINDS.index(k)) for k, x in rows if k]
+    by_hash = docs.select(F.col(doc_id).alias("id")).where(F.col("id").isNotNull()).distinct().orderBy(F.xxhash64("id"), "id").limit(train_texts).withColumn("kind", F.lit(_WEAK))
+    if labels is not None:
+        held = labels.select(F.col(doc_id).alias("id"), F.col(kind).alias("kind")).where(F.col("kind").isin(*KINDS)).groupBy("id").agg(F.min("kind").alias("kind")).orderBy(F.xxhash64("id"), "id").limit(holdout_texts)
+        # Both sides are bounded by the limits above.
+        by_hash = by_hash.join(F.broadcast(held.select("id")), "id", "left_anti").unionByName(held)
+    counted = cut(_words_and_sample(docs, doc_id, text, by_hash))
+    common = [r.word for r in counted.where(F.col("word").isNotNull()).orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()]
+    known, hashes = frozenset(common), word_hashes(common)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            kinds = [KINDS[k] if (k := weak_kind(line_kinds(t, known))) >= 0 else "" for t in b["text"][b["kind"] == _WEAK]]
+            b.loc[b["kind"] == _WEAK, "kind"] = [f"{_WEAK} {k}" for k in kinds]
+            yield pd.DataFrame({"kind": b["kind"], "x": list(batch_statistics(b["text"].tolist(), hashes))})
+
+    sample = counted.where(F.col("word").isNull()).select("kind", "text")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    rows = sorted((r.kind, list(r.x)) for r in sample.repartition(cores).mapInPandas(run, "kind string, x array<double>").collect())
+    weak = [(x, KINDS.index(k.removeprefix(f"{_WEAK} "))) for k, x in rows if k.startswith(_WEAK) and k != f"{_WEAK} "] or [([0.0] * len(NAMES), 0)]
+    trees = BoostedTrees(len(KINDS)).fit(np.array([x for x, _ in weak]), np.array([y for _, y in weak]))
+    hand = [(x, KINDS.index(k)) for k, x in rows if k in KINDS]
     calibration = Calibration()
     if hand:
         calibration.fit(trees.scores(np.array([x for x, _ in hand])), np.array([y for _, y in hand]))
@@ -322,7 +310,7 @@ def train_kinds(docs: DataFrame, doc_id: str, text: str, labels: DataFrame | Non
 
 
 def text_kinds(docs: DataFrame, doc_id: str, text: str, model: KindModel) -> DataFrame:
-    """(<doc_id>, text_kind, probability) of each text that is neither null nor empty: the likeliest kind.
+    """(<doc_id>, text_kind, probability) of each text that is neither null nor empty: the likeliest kind by the trees.
 
     Cases: repeated ids come as often; blank texts are judged like any other (their statistics are those of no words).
     The whole text counts, however long. Other columns are ignored; an empty table gives an empty table.
@@ -331,11 +319,9 @@ def text_kinds(docs: DataFrame, doc_id: str, text: str, model: KindModel) -> Dat
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull() & (F.col("text") != ""))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        words = frozenset(m.common)
         for b in batches:
             if len(b):
-                p = m.probabilities(np.array([features(t, words) for t in b["text"]]))
+                p = shared.value.probabilities(b["text"].tolist())
                 best = p.argmax(1)
                 yield pd.DataFrame({"id": b["id"], "kind": [KINDS[k] for k in best], "probability": p[np.arange(len(p)), best]})
 

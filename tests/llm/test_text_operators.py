@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import random
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from deedloom.llm.boosting import BoostedTrees, Calibration, softmax
 from deedloom.llm.leaks import ItemAutomaton, leaked_spans, without_leaks, words_of
-from deedloom.llm.quality import common_words, features, line_kinds, text_kinds, text_statistics, train_kinds
+from deedloom.llm.forms import NAMES, batch_statistics, word_hashes
+from deedloom.llm.quality import common_words, line_kinds, text_kinds, text_statistics, train_kinds
 from deedloom.llm.tokens import TOKENIZERS, WORDS, WordEncoder, encode_texts, read_ranks
 
 VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
@@ -115,7 +117,33 @@ def test_line_kinds():
     assert line_kinds("n/a " * 60, words)["junk"] == 1
     wrapped = "The owner wrote that the lease had run out and that\nthe wall beside the yard had been sold together with\nthe house, which nobody could say anything about."
     assert line_kinds(wrapped, words)["prose"] == 1
-    assert len({len(features(t, words)) for t in [*KIND_TEXTS.values(), "", " ", "x" * 20_000]}) == 1
+
+
+def test_batch_statistics_against_plain_counts():
+    """What a batch gives is what counting text by text gives, whatever stands beside it in the batch."""
+    rng = random.Random(12)
+    texts = [*KIND_TEXTS.values(), "", " ", "\n\n", "x" * 20_000, "Üben wir: ÀÉ ñ 日本語 🏠🏠 𝔘 end\r\nnext  line", "a\u2028b", "(a) one\n12. two\n[ ] three\niv) four\n• five\nsix", "ab ab AB ab"]
+    texts += ["".join(rng.choice("ab C,.;-|\n\t1'éŴ") for _ in range(rng.randint(0, 120))) for _ in range(200)]
+    common = word_hashes(["ab", "the"])
+    got = batch_statistics(texts, common)
+    assert got.shape == (len(texts), len(NAMES)) and not np.isnan(got).any() and batch_statistics([], common).shape == (0, len(NAMES))
+    alone = np.vstack([batch_statistics([t], common) for t in texts])
+    assert np.allclose(got, alone)
+    at = {name: got[:, i] for i, name in enumerate(NAMES)}
+    for i, t in enumerate(texts):
+        words, tokens = re.findall(r"[^\W\d_]+", t), t.split()
+        lines = [x.strip() for x in re.split(r"[\n\r]", t) if x.strip()]
+        share = lambda part, whole: part / whole if whole else 0.0
+        chars = sum(map(len, lines))
+        want = {
+            "length": np.log1p(len(t)), "lines": np.log1p(len(lines)), "line_length": share(chars, len(lines)), "word_length": share(sum(map(len, words)), len(words)), "longest_token": share(max(map(len, tokens), default=0), max(1, len(t))),
+            "single_tokens": share(sum(len(x) == 1 for x in tokens), len(tokens)), "digits": share(sum(map(str.isdigit, t)), len(t)), "capitals": share(sum(map(str.isupper, t)), len(t)), "different_words": share(len({w.lower() for w in words}), len(words)),
+            "common_words": share(sum(w.lower() in ("ab", "the") for w in words), len(words)), "lower_words": share(sum(w[0].islower() for w in words), len(words)), "gap_lines": share(sum(len(x) for x in lines if re.search(r"\S\s{2,}\S", x)), chars),
+            "delimiter_0": None, "stopped_lines": share(sum(len(x) for x in lines if re.search(r"[.!?…][\"'”’»)\]]{0,3}$", x)), chars),
+        }
+        for name, value in want.items():
+            assert value is None or abs(at[name][i] - value) < 1e-9, (name, t, at[name][i], value)
+    assert at["bullet_lines"][texts.index("(a) one\n12. two\n[ ] three\niv) four\n• five\nsix")] > 0.9
 
 
 def test_text_statistics(spark):
