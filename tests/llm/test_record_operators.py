@@ -8,7 +8,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from deedloom.llm.canonical import OTHER_NAMES, letters_agree, map_to_list
+from deedloom.llm.canonical import OTHER_NAMES, cosine, map_to_list
 from deedloom.llm.linkage import business_premises, link_premises, register_premises
 from deedloom.llm.places import building_key, close, number_beside, number_key, street_parts
 from deedloom.llm.same_place import PARTS, components, same_place_pairs, same_places, title_addresses
@@ -40,10 +40,30 @@ def test_map_to_list_among_alike_names(spark):
     assert [(r.value, r.entry) for r in got] == [("South Karvon", "ST")]
 
 
-def test_letters_agree():
-    assert letters_agree("ABC DEF", "ABC DEF") == 1 and letters_agree("DEF ABC", "ABC DEF") > 0.9
-    assert letters_agree("GERMAYN", "GERMANY") > 0 and letters_agree("KARVONIA", "ESTONIA") == 0
-    assert letters_agree("NORTH KOREA", "SOUTH KOREA") == 0 and letters_agree("SOTH KOREA", "SOUTH KOREA") > 0
+def test_cosine():
+    assert abs(cosine("ABC DEF", "ABC DEF") - 1) < 1e-6 and cosine("DEF ABC", "ABC DEF") > 0.95 and cosine("ABCDEF", "ABC DEF") > 0.95
+    assert cosine("GERMAYN", "GERMANY") > 0.8 > cosine("KARVONIA", "ESTONIA")
+    assert cosine("NORTH KOREA", "SOUTH KOREA") == 0 and cosine("SOTH KOREA", "SOUTH KOREA") > 0.8
+
+
+def test_candidates_lose_no_entry(spark, monkeypatch):
+    """Looking at every entry that shares a single n-gram accepts the same as looking at the candidates."""
+    import deedloom.llm.canonical as canonical
+
+    rng, names = random.Random(7), [n for _, n, _ in COUNTRIES]
+    typed = set(TYPED) - {"x" * 3000}
+    for _ in range(150):
+        n = list(rng.choice(names))
+        for _ in range(rng.randint(1, 2)):
+            k = rng.randrange(len(n) - 1)
+            n[k : k + 2] = rng.choice([[n[k + 1], n[k]], [n[k]], [n[k], rng.choice("AEIORST"), n[k + 1]], [rng.choice("AEIORST"), n[k + 1]]])
+        typed.add("".join(n))
+    entries = spark.createDataFrame(COUNTRIES, "code string, name string, alt string")
+    values = spark.createDataFrame([(t,) for t in sorted(typed)], "typed string")
+    run = lambda: {r.value: r.entry for r in map_to_list(values, "typed", entries, "code", ["name", "alt"]).collect()}
+    got = run()
+    monkeypatch.setattr(canonical, "LOOK", 0.0)
+    assert run() == got and sum(e != "NONE" for e in got.values()) > 120
 
 
 def test_address_parts(spark):
