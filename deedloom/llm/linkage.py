@@ -7,32 +7,39 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deedloom.functions.addresses import STREET_TYPES
 from deedloom.functions.values import compact
-from deedloom.llm.places import BEHIND, FLOORS, NEAR, PART_AT, building_key, close, number_beside, number_key, plain_words, street_parts
+from deedloom.llm.places import BEHIND, FLOORS, NEAR, PART_AT, building_key, close, number_beside, number_key, plain_words, remains, street_parts
 from deedloom.operators.packed import packs_places
 from deedloom.plans.session import cut
+from deedloom.plans.sizes import hot_keys, salted_left_join, small
 
 PARTS = ("number", "building", "street", "street_type", "town", "postcode")
-#: A candidate link is pruned if its weight is under this share of the best one's at both of its ends. Two addresses of one
-#: place may share but one of the dozen attributes, and that a common one, so only far lighter links are pruned.
-PRUNE = 0.05
+#: A candidate link is pruned if its weight is under this share of the mean of the best ones at its two ends.
+PRUNE = 0.25
 #: Share of a link's score that comes from its neighbours; the score from which a link is a match.
-NEIGHBOURS, ACCEPT = 0.25, 0.5
-#: Scores are stable if none changes by more than this; rounds after which they are taken as they are (each round halves
-#: the change at least, as NEIGHBOURS is under a half).
-STABLE, ROUNDS = 0.005, 6
+NEIGHBOURS, ACCEPT = 0.25, 0.74
+#: How much two streets of slightly different spelling count against two of the same one when streets compete for a partner,
+#: and what a street keeps of its neighbours' support however much better another one is.
+SLIP, KEPT = 0.15, 0.25
+#: Scores are stable if none changes by more than this; an error is raised if they aren't after so many rounds.
+STABLE, ROUNDS = 0.005, 40
+#: A town is taken for another spelling of a close one that so many times as many addresses name.
+TOWN_RATIO = 5
 
 
 def _parsed(rows: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows (row_id, texts...) with the parts that ``parse`` makes of their texts; equal texts are parsed once.
 
     ``parse`` keeps all texts and says in ``_out`` which don't count; these are left out after the cut, as a filter before
-    it would move down to the rows and parse each of them.
+    it would move down to the rows and parse each of them. Texts that a good part of the rows share are joined in pieces.
     """
     texts = [c for c in rows.columns if c != "row_id"]
     keyed = rows.withColumn("text_id", _id_of(*texts))
-    parsed = cut(parse(keyed.drop("row_id").distinct())).where(~F.col("_out")).drop("_out")
-    return keyed.select("row_id", "text_id").join(parsed, "text_id").drop("text_id")
+    parsed = cut(parse(keyed.drop("row_id").distinct())).where(~F.col("_out")).withColumn("_in", F.lit(True)).drop("_out")
+    ids = cut(keyed.select("row_id", "text_id"))
+    joined = salted_left_join(ids, parsed, "text_id", F.col("row_id"), hot_keys(ids.select("text_id"), "text_id"))
+    return joined.where(F.col("_in")).drop("text_id", "_in")
 
 
 def _id_of(*columns: str) -> Column:
@@ -79,80 +86,139 @@ def business_premises(records: DataFrame) -> DataFrame:
 def _forms(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct addresses with an id, and which rows have which."""
     keyed = rows.where(F.col("street").isNotNull() & (F.col("number").isNotNull() | F.col("building").isNotNull())).withColumn("form", _id_of(*PARTS))
-    return cut(keyed.select("form", *PARTS).distinct()), keyed.select("form", "row_id").distinct()
+    return cut(keyed.select("form", *PARTS).distinct()), cut(keyed.select("form", "row_id").distinct())
+
+
+def _area(postcode: Column) -> Column:
+    """The part of a postcode that tells the area."""
+    return F.nullif(F.regexp_replace(postcode, r"[0-9][a-z]{2}$", ""), F.lit(""))
+
+
+def _town_names(forms: DataFrame) -> DataFrame:
+    """(town, name): the towns that are slips of far commoner ones, with the commonest of those."""
+    towns = cut(forms.where(F.col("town").isNotNull()).groupBy("town").agg(F.count(F.lit(1)).alias("n")))
+    keyed = towns.select("town", "n", F.explode(remains(F.col("town"))).alias("key"))
+    near = keyed.join(keyed.select(F.col("town").alias("other"), F.col("n").alias("m"), "key"), "key").where((F.col("m") >= TOWN_RATIO * F.col("n")) & close(F.col("town"), F.col("other")))
+    return near.groupBy("town").agg(F.max_by("other", F.struct("m", "other")).alias("name"))
+
+
+def _placed(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides' forms with places: the town as it is mostly written or, without one, all towns that addresses of the postcode's area name."""
+    both = left.select("town", "postcode").unionByName(right.select("town", "postcode"))
+    names = _town_names(both)
+    named = lambda side: side.join(small(names), "town", "left").withColumn("town", F.coalesce("name", "town")).drop("name")
+    # Towns that a single address of the area names may be mistakes.
+    in_area = named(both).where(F.col("town").isNotNull()).groupBy(_area(F.col("postcode")).alias("area"), "town").agg(F.count(F.lit(1)).alias("n")).where(F.col("area").isNotNull() & (F.col("n") > 1))
+    areas = cut(in_area.groupBy("area").agg(F.collect_list("town").alias("towns")))
+
+    def place(side: DataFrame) -> DataFrame:
+        asked = named(side).withColumn("_asks", F.when(F.col("town").isNull(), _area(F.col("postcode"))))
+        out = asked.join(small(areas), F.col("_asks") == F.col("area"), "left").drop("_asks", "area")
+        return out.withColumn("places", F.when(F.col("town").isNotNull(), F.array("town")).otherwise(F.coalesce("towns", F.array().cast("array<string>")))).drop("towns")
+
+    return cut(place(left)), cut(place(right))
 
 
 def _attributes(forms: DataFrame) -> DataFrame:
-    """(form, attribute): what two addresses of one place may share. Each holds a number or a building's name, so few addresses share one."""
+    """(form, attribute): what two addresses of one place may share.
+
+    Each attribute holds a postcode, or a town and a number or building's name, so no block grows with the country: a common
+    street name and number are one block a town. Addresses without town have theirs in each town of their postcode's area.
+    """
     street = F.concat_ws(" ", "street", F.coalesce("street_type", F.lit("")))
     start, end = F.substring("street", 1, 3), F.substring(F.reverse("street"), 1, 3)
-    b, n = F.col("building"), F.col("number")
-    given: list[tuple[str, Sequence[Column]]] = [
-        ("street+number", [street, n]), ("postcode+number", [F.col("postcode"), n]), ("street+building", [street, b]), ("postcode+building", [F.col("postcode"), b]), ("town+building", [F.col("town"), b]),
-        ("town+number+start", [F.col("town"), n, start]), ("town+number+end", [F.col("town"), n, end, F.col("street_type")]), ("start+number", [start, F.col("street_type"), n]),
-        ("town+street+name", [F.col("town"), street, F.substring("building", 1, 3)]), ("building+start", [b, start]), ("building+number", [b, n]), ("postcode+street+name", [F.col("postcode"), street, F.substring(F.reverse("building"), 1, 6)]),
-    ]
+    b, n, p = F.col("building"), F.col("number"), F.col("postcode")
+    at_postcode: list[tuple[str, Sequence[Column]]] = [("number", [n]), ("building", [b]), ("street", [street]), ("number+street", [n, street])]
+    in_town: list[tuple[str, Sequence[Column]]] = [("street+number", [street, n]), ("building", [b]), ("building+number", [b, n]), ("street+building", [street, b]), ("number+start", [n, start]), ("number+end", [n, end, F.col("street_type")]), ("street+name", [street, F.substring("building", 1, 3)])]
     # An attribute is its hash: the shuffles carry 8 bytes of it. Two attributes with one hash only make one more candidate.
-    cells = [F.when(F.concat(*cols).isNotNull(), F.xxhash64(F.lit(name), *cols)) for name, cols in given]
-    return forms.select("form", F.explode(F.array_compact(F.array(*cells))).alias("attribute"))
+    cell = lambda name, cols: F.when(F.concat(*cols).isNotNull(), F.xxhash64(F.lit(name), *cols))
+    by_town = F.flatten(F.transform("places", lambda t: F.array(*[cell(f"town+{name}", [t, *cols]) for name, cols in in_town])))
+    cells = F.concat(F.array(*[cell(f"postcode+{name}", [p, *cols]) for name, cols in at_postcode]), by_town)
+    return forms.select("form", F.explode(F.array_distinct(F.array_compact(cells))).alias("attribute"))
 
 
-def _candidates(left: DataFrame, right: DataFrame, prune: float) -> DataFrame:
-    """(a, b, weight) for forms that share attributes, weighted by how rare these are, pruned by meta-blocking."""
+def weighted_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b, weight) for forms that share attributes: the sum of what each shared one weighs, the more the fewer have it."""
     la, ra = _attributes(left), _attributes(right)
     # Rarity is known from one count over both sides; attributes of one side only link nothing.
     counts = la.select("attribute", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(ra.select("attribute", F.lit(0).alias("l"), F.lit(1).alias("r"))).groupBy("attribute").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     shared = counts.where((F.col("l") > 0) & (F.col("r") > 0)).select("attribute", (1 / F.log1p((F.col("l") + F.col("r")).cast("double"))).alias("rarity"))
     pairs = la.withColumnRenamed("form", "a").join(shared, "attribute").join(ra.withColumnRenamed("form", "b"), "attribute")
-    weighed = pairs.groupBy("a", "b").agg(F.sum("rarity").alias("weight"))
-    best = weighed.withColumn("best_a", F.max("weight").over(Window.partitionBy("a"))).withColumn("best_b", F.max("weight").over(Window.partitionBy("b")))
-    return best.where((F.col("weight") >= prune * F.col("best_a")) | (F.col("weight") >= prune * F.col("best_b"))).select("a", "b", "weight")
+    return pairs.groupBy("a", "b").agg(F.sum("rarity").alias("weight"))
 
 
-def _own_score(l: str, r: str) -> Column:
-    """Agreement of two addresses, 0 to 1: 0 where number, street type or town contradict."""
+def pruned(candidates: DataFrame, prune: float = PRUNE) -> DataFrame:
+    """Meta-blocking: candidates whose weight is at least ``prune`` of the mean of the best ones at their two ends."""
+    best = candidates.withColumn("best_a", F.max("weight").over(Window.partitionBy("a"))).withColumn("best_b", F.max("weight").over(Window.partitionBy("b")))
+    return best.where(F.col("weight") * 2 >= prune * (F.col("best_a") + F.col("best_b"))).select("a", "b", "weight")
+
+
+def _likeness(l: str, r: str) -> Column:
+    """STRUCT<own, same>: agreement of two addresses, 0 to 1 (0 where number, street, its type or town contradict), and whether the streets are spelt alike."""
     at = lambda side, part: F.col(f"{side}.{part}")
     both = lambda part: at(l, part).isNotNull() & at(r, part).isNotNull()
     same = lambda part: at(l, part).eqNullSafe(at(r, part))
-    post = F.when(both("postcode"), F.when(same("postcode"), 1.0).when(F.levenshtein(at(l, "postcode"), at(r, "postcode")) <= 1, 0.8).otherwise(0.0)).otherwise(0.5)
     whole = lambda side: F.concat(at(side, "street"), F.coalesce(at(side, "street_type"), F.lit("")))
-    slip = F.when(post >= 0.8, close(at(l, "street"), at(r, "street"), 3, 6)).otherwise(close(at(l, "street"), at(r, "street"), 4, 7)) & same("street_type") | (close(whole(l), whole(r), 6, 9) & ~(at(l, "street_type").isin(*_TYPES) & at(r, "street_type").isin(*_TYPES)))
-    street = F.when(same("street") & same("street_type"), 1.0).when(slip, 0.6).otherwise(0.0)
-    town = F.when(both("town"), F.when(same("town"), 1.0).when(close(at(l, "town"), at(r, "town")), 0.9).otherwise(0.0)).otherwise(0.5)
-    name = F.when(both("building"), F.when(same("building"), 1.0).when(close(at(l, "building"), at(r, "building")), 0.8).otherwise(0.0)).otherwise(0.5)
-    place = F.when(both("number"), F.when(same("number"), 1.0).otherwise(0.0)).otherwise(F.when(both("building"), name).otherwise(0.0))
-    # A slip in the street needs the postcode or the building's name beside it, or that the town has no street of that spelling.
-    one_slip = (F.levenshtein(whole(l), whole(r)) <= 1) | (F.array_sort(F.split(whole(l), "")) == F.array_sort(F.split(whole(r), "")))
-    sure = ((street == 1.0) | (post >= 0.8) | (both("building") & (name >= 0.8)) | ((post == 0.5) & (town >= 0.9) & one_slip & ~F.col(f"{r}_known"))) & ((town >= 0.9) | ((town == 0.5) & (post >= 0.5)))
-    score = 0.3 * street + 0.25 * place + 0.2 * town + 0.15 * post + 0.1 * name
-    return F.when((street > 0) & (town > 0) & (place > 0) & sure, score).otherwise(F.lit(0.0))
-
-
-_TYPES = ("avenue", "close", "crescent", "drive", "gardens", "grove", "hill", "lane", "mews", "place", "road", "row", "square", "street", "terrace", "way")
-
-
-def _spread(links: DataFrame, neighbours: float, rounds: int) -> DataFrame:
-    """(a, b, score): own scores refined by those of neighbouring links until stable.
-
-    Two links are neighbours if they join the same two streets: that many premises of a street as one source writes it match
-    premises of a street as the other does says that the two are one street. A street pair's score is the share of the
-    first street's premises that it links, weighed by their scores; it is summed by street, never listed by pairs of links.
+    near = F.levenshtein(at(l, "postcode"), at(r, "postcode")) <= 1
+    no_town = ~both("town")
+    town = F.when(no_town, 1.0).when(same("town"), 1.0).when(close(at(l, "town"), at(r, "town")), 0.95).otherwise(0.0)
+    # Where it is: by postcode, else by town; another postcode in one town is a doubt, without a town it is far away.
+    where = F.when(both("postcode"), F.when(same("postcode"), 1.0).when(near, 0.9).when(no_town, 0.3).otherwise(0.5)).when(no_town, 0.5).otherwise(0.8)
+    typed = same("street_type")
+    untyped = ~(F.coalesce(at(l, "street_type").isin(*STREET_TYPES), F.lit(False)) & F.coalesce(at(r, "street_type").isin(*STREET_TYPES), F.lit(False)))
+    short, long = (F.when(where >= 0.9, n).otherwise(n + 1) for n in (3, 6))
+    slip = F.coalesce(typed & close(at(l, "street"), at(r, "street"), short, long), F.lit(False)) | (untyped & close(whole(l), whole(r), 6, 9))
+    one = (F.levenshtein(whole(l), whole(r)) <= 1) | (F.array_sort(F.split(whole(l), "")) == F.array_sort(F.split(whole(r), "")))
+    spelt = same("street") & typed
+    street = F.when(spelt, 1.0).when(slip & one, 0.8).when(slip, 0.45).otherwise(0.0)
+    agree, alike = both("building") & same("building"), both("building") & close(at(l, "building"), at(r, "building"))
+    place = F.when(both("number"), same("number")).otherwise(alike)
+    name = F.when(agree, 0.1).when(alike, 0.08).when(both("building"), -0.05).otherwise(0.0)
+    own = F.least(F.lit(1.0), 0.45 * street + 0.55 * where * town + name)
+    return F.struct(F.when(place & (street > 0) & (town > 0), own).otherwise(0.0).alias("own"), spelt.alias("same"))
+
+
+def _street(side: str = "") -> Column:
+    return F.concat_ws(" ", f"{side}street", f"{side}street_type")
+
+
+def refined(links: DataFrame, known: DataFrame, neighbours: float = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+    """(a, b, own, score): scores of links refined by their neighbours' until stable.
+
+    links: (na, sb, a, b, own, same): a joins street name na, b the street sb of a place. known: (na, sb) that are spelt alike,
+    whether or not premises link them. Links that join na to sb are neighbours. The evidence that sb is na grows with the
+    premises of sb that na's links join, each by its best score, and counts SLIP of its worth where the spelling differs. The
+    street names that claim sb compete: a link gets the share of the best claim's evidence that its own claim has. So a slip
+    is believed where no street is spelt so, and not where the very street is there. Evidence is summed by street, never listed
+    by pairs of links. Raises an error if scores aren't stable after ``rounds``.
     """
     # Links are few beside the candidates they come from, which are worked out once.
-    links = cut(links)
-    streets = links.select("sa", "a").distinct().groupBy("sa").agg(F.count(F.lit(1)).alias("n"))
-    state = links.join(streets, "sa").withColumn("score", F.col("own"))
+    state = cut(links.withColumn("score", F.col("own")))
+    known = cut(known.select("na", "sb").distinct().withColumn("evidence", F.lit(1.0)))
+    worth = F.when(F.col("same"), 1.0).otherwise(SLIP)
     for _ in range(rounds):
-        # Of one premise's links to a street pair the best counts.
-        best = state.groupBy("sa", "sb", "a", "n").agg(F.max("score").alias("top"))
-        pairs = best.groupBy("sa", "sb").agg(F.least(F.lit(1.0), F.sum("top") / F.max("n")).alias("support"))
-        new = state.join(pairs, ["sa", "sb"]).withColumn("new", (1 - neighbours) * F.col("own") + neighbours * F.col("support"))
-        new = cut(new.select("sa", "sb", "a", "b", "own", "n", F.col("score").alias("old"), F.col("new").alias("score")))
+        best = state.groupBy("na", "sb", "b").agg(F.max("score").alias("top"), F.max(worth).alias("worth"))
+        claims = best.groupBy("na", "sb").agg((F.max("worth") * (1 + F.sum("top"))).alias("evidence")).unionByName(known).groupBy("na", "sb").agg(F.max("evidence").alias("evidence"))
+        claims = claims.withColumn("support", F.col("evidence") / F.max("evidence").over(Window.partitionBy("sb"))).drop("evidence")
+        new = state.join(claims, ["na", "sb"]).withColumn("new", (1 - neighbours) * F.col("own") + neighbours * (KEPT + (1 - KEPT) * F.col("support")))
+        new = cut(new.select("na", "sb", "a", "b", "own", "same", F.col("score").alias("old"), F.col("new").alias("score")))
         change = new.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("c")).first().c
         state = new.drop("old")
         if change is None or change <= STABLE:
-            break
-    return state.select("a", "b", "score")
+            return state.select("a", "b", "own", "score")
+    raise RuntimeError(f"scores still change after {rounds} rounds")
+
+
+def form_links(left: DataFrame, right: DataFrame, prune: float = PRUNE, neighbours: float = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+    """(a, b, own, score): links of two sides' forms, before any is accepted."""
+    left, right = _placed(left, right)
+    candidates = pruned(weighted_candidates(left, right), prune)
+    l, r = left.select(F.col("form").alias("a"), F.struct(*PARTS).alias("l")), right.select(F.col("form").alias("b"), F.struct(*PARTS).alias("r"))
+    scored = candidates.join(l, "a").join(r, "b").withColumn("like", _likeness("l", "r")).where(F.col("like.own") > 0)
+    at = lambda side="": F.concat_ws("|", _street(side), F.coalesce(F.col(f"{side}town"), F.concat(F.lit("~"), _area(F.col(f"{side}postcode"))), F.lit("?")))
+    links = scored.select(_street("l.").alias("na"), at("r.").alias("sb"), "a", "b", "like.own", "like.same")
+    known = left.where(F.col("town").isNotNull()).select(_street().alias("na"), at().alias("sb")).distinct().join(right.select(at().alias("sb")).distinct(), "sb", "left_semi")
+    return refined(links, known, neighbours, rounds)
 
 
 def link_premises(left: DataFrame, right: DataFrame, prune: float = PRUNE, neighbours: float = NEIGHBOURS, accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
@@ -160,7 +226,7 @@ def link_premises(left: DataFrame, right: DataFrame, prune: float = PRUNE, neigh
 
     Method: equal addresses of a side are one node. Nodes that share attributes (street and number, postcode and
     number, building and street, ...) are candidates, weighted by how rare these are; meta-blocking prunes candidates far
-    lighter than the best at both ends. Those left are scored by their parts, and each score is refined by its
+    lighter than the best at their ends. Those left are scored by their parts, and each score is refined by its
     neighbours', links that join the same two streets, until none changes. Scores from ``accept`` on are matches.
 
     Strict: numbers (with letter and range) must be equal where both are given, else the buildings' names must agree; a
@@ -169,18 +235,12 @@ def link_premises(left: DataFrame, right: DataFrame, prune: float = PRUNE, neigh
     Cases: rows without street, or with neither number nor building, have no match. Null parts agree with anything,
     for less. Repeated rows count once. Each side may be empty. Other columns are ignored.
 
-    Scale: everything but the last join works on distinct addresses. Every attribute holds a number or a name, so
-    an attribute is shared by few addresses; the result has one row a pair that is asked for.
+    Scale: everything but the last joins works on distinct addresses, in blocks that hold a postcode or a town. Rows of an
+    address that a good part of all rows have are joined in pieces; the result has one row a pair that is asked for.
     """
     (lf, lrows), (rf, rrows) = _forms(left), _forms(right)
-    candidates = _candidates(lf, rf, prune)
-    l, r = lf.select(F.col("form").alias("a"), F.struct(*PARTS).alias("l")), rf.select(F.col("form").alias("b"), F.struct(*PARTS).alias("r"))
-    # Streets of the right side that the left side has, spelt so, in the same town.
-    known = lf.where(F.col("town").isNotNull()).select("street", "street_type", "town").distinct()
-    known = rf.join(known, rf.street_type.eqNullSafe(known.street_type) & (rf.street == known.street) & (rf.town == known.town), "left_semi").select(F.col("form").alias("b"), F.lit(True).alias("_known"))
-    r = r.join(known, "b", "left").select("b", "r", F.coalesce("_known", F.lit(False)).alias("r_known"))
-    scored = candidates.join(l, "a").join(r, "b").withColumn("own", _own_score("l", "r")).where(F.col("own") > 0)
-    name = lambda side: F.concat_ws(" ", f"{side}.street", f"{side}.street_type", F.coalesce(f"{side}.town", F.lit("")))
-    final = _spread(scored.select(name("l").alias("sa"), name("r").alias("sb"), "a", "b", "own"), neighbours, rounds).where(F.col("score") >= accept)
-    pairs = final.join(lrows, F.col("a") == lrows.form).select(F.col("row_id").alias("left_id"), "b", "score")
-    return pairs.join(rrows, F.col("b") == rrows.form).groupBy("left_id", F.col("row_id").alias("right_id")).agg(F.round(F.max("score"), 4).alias("confidence"))
+    final = cut(form_links(lf, rf, prune, neighbours, rounds).where(F.col("score") >= accept).select("a", "b", "score"))
+    pairs = salted_left_join(lrows, final.withColumnRenamed("a", "form"), "form", F.col("row_id"), hot_keys(lrows.select("form"), "form")).where(F.col("b").isNotNull())
+    pairs = pairs.select(F.col("row_id").alias("left_id"), F.col("b").alias("form"), "score")
+    both = salted_left_join(pairs, rrows, "form", F.col("left_id"), hot_keys(pairs.select("form"), "form")).where(F.col("row_id").isNotNull())
+    return both.groupBy("left_id", F.col("row_id").alias("right_id")).agg(F.round(F.max("score"), 4).alias("confidence"))

@@ -78,9 +78,21 @@ def number_beside(address: Column, street: Column) -> Column:
     return let(F.struct(text.alias("text"), name.alias("name"), F.instr(text, name).alias("at")), found)
 
 
-def close(a: Column, b: Column, short: int = 5, long: int = 9) -> Column:
+def close(a: Column, b: Column, short: int | Column = 5, long: int | Column = 9) -> Column:
     """True if two words differ by no more than slips: one edit from ``short`` letters on, two from ``long`` on; a swap is one."""
     swapped = F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))
     edits = F.levenshtein(a, b)
     n = F.least(F.length(a), F.length(b))
     return (a == b) | ((n >= short) & (edits <= 1)) | ((n >= long) & (edits <= 2)) | ((n >= short - 1) & swapped & (edits <= 2))
+
+
+def remains(c: Column) -> Column:
+    """Keys of a word such that any two words that are close() with 3 and 6 (so with greater lengths too) share one.
+
+    These are the word, what is left of it without any letter or, from six letters on, any two, and its letters in order.
+    """
+    without_one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+    none = F.array().cast("array<string>")
+    one = F.when(F.length(c) > 1, without_one(c)).otherwise(none)
+    two = F.when(F.length(c) >= 6, F.flatten(F.transform(without_one(c), without_one))).otherwise(none)
+    return F.array_distinct(F.concat(F.array(c), one, two, F.array(F.concat(F.lit("\u0001"), F.array_join(F.array_sort(F.split(c, "")), "")))))

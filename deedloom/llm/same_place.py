@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deedloom.functions.values import compact
-from deedloom.llm.places import NEAR, building_key, close, number_beside, number_key, plain_words, street_parts
+from deedloom.llm.places import NEAR, building_key, close, number_beside, number_key, plain_words, remains, street_parts
 from deedloom.operators.packed import packed_kind
 from deedloom.plans.session import cut
 from deedloom.plans.sizes import small
@@ -55,25 +55,13 @@ def _agree(a: str, b: str) -> Column:
     return F.coalesce(same("unit") & town & street & place, F.lit(False))
 
 
-def _remains(c: Column) -> Column:
-    """Keys of a word such that any two words that are close() with 3 and 6 (so with greater lengths too) share one.
-
-    These are the word, what is left of it without any letter or, from six letters on, any two, and its letters in order.
-    """
-    without_one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
-    none = F.array().cast("array<string>")
-    one = F.when(F.length(c) > 1, without_one(c)).otherwise(none)
-    two = F.when(F.length(c) >= 6, F.flatten(F.transform(without_one(c), without_one))).otherwise(none)
-    return F.array_distinct(F.concat(F.array(c), one, two, F.array(F.concat(F.lit("\u0001"), F.array_join(F.array_sort(F.split(c, "")), "")))))
-
-
 def _close_towns(forms: DataFrame) -> DataFrame:
     """(town, others): towns in whose blocks the forms of a town stand too, so that any two close towns share a block.
 
     Of two close towns the rarer goes to the block of the commoner, or both go to that of a third, the commonest near both.
     """
     towns = cut(forms.where(F.col("town").isNotNull()).groupBy(F.col("town").alias("t")).agg(F.count(F.lit(1)).alias("n")))
-    keyed = towns.select(F.struct("n", "t").alias("x"), F.explode(_remains(F.col("t"))).alias("key"))
+    keyed = towns.select(F.struct("n", "t").alias("x"), F.explode(remains(F.col("t"))).alias("key"))
     near = keyed.join(keyed.withColumnRenamed("x", "y"), "key").where((F.col("x") < F.col("y")) & close(F.col("x.t"), F.col("y.t"))).select("x", "y").distinct()
     near = cut(near)
     best = near.groupBy("x").agg(F.max("y").alias("best"))
@@ -105,7 +93,7 @@ def _links(forms: DataFrame, whole: int = WHOLE) -> DataFrame:
     rows = placed.select(F.xxhash64("id").alias("h"), "street", F.explode(F.concat(numbered, named)).alias("k")).select("h", "street", "k.*")
     block = Window.partitionBy("block")
     met = rows.withColumns({"n": F.count(F.lit(1)).over(block), "asking": F.max("asks").over(block)}).where((F.col("n") > 1) & F.col("asking"))
-    keys = F.when(F.col("n") <= whole, F.array("block")).otherwise(F.transform(_remains(F.col("street")), lambda r: F.xxhash64("block", r)))
+    keys = F.when(F.col("n") <= whole, F.array("block")).otherwise(F.transform(remains(F.col("street")), lambda r: F.xxhash64("block", r)))
     met = cut(met.select("h", "street", "asks", F.explode(keys).alias("key")))
     a, b = met.where("asks").select("key", F.col("h").alias("a"), F.col("street").alias("s")), met.select("key", F.col("h").alias("b"), F.col("street").alias("t"))
     pairs = a.join(b, "key").where((F.col("a") != F.col("b")) & close(F.col("s"), F.col("t"), 3, 6)).select(F.least("a", "b").alias("ha"), F.greatest("a", "b").alias("hb")).distinct()
