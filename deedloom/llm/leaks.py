@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,22 @@ class ItemAutomaton:
             if self.length[s] >= least:
                 self.core[s] = s if self.length[self.link[s]] < least else self.core[self.link[s]]
         self.items = {s: frozenset(ends[s]) for s in set(self.core) if s}
+        self._pack()
+
+    def _pack(self) -> None:
+        """Most states go on by one word only: these are kept in arrays, and a dict is kept for the others. An automaton that is sent around is a fraction of its size."""
+        one = [next(iter(d.items())) if len(d) == 1 else (-1, 0) for d in self.next]
+        self.word, self.to = array("i", [w for w, _ in one]), array("i", [t for _, t in one])
+        self.more = {s: d for s, d in enumerate(self.next) if len(d) > 1}
+        self.link, self.length, self.core = array("i", self.link), array("i", self.length), array("i", self.core)
+        del self.next
+
+    def _step(self, state: int, word: int) -> int:
+        """The state after a word, or -1."""
+        if self.word[state] == word:
+            return self.to[state]
+        held = self.more.get(state)
+        return -1 if held is None else held.get(word, -1)
 
     def _copy(self, state: int, length: int, ends: list[set]) -> int:
         self.next.append(dict(self.next[state]))
@@ -100,7 +118,7 @@ class ItemAutomaton:
 
         A run is given once for each stretch of end positions at which the item's last ``least`` words go on matching.
         """
-        numbers, nexts, link, length, core, least = self.number.get, self.next, self.link, self.length, self.core, self.least
+        numbers, step, link, length, core, least = self.number.get, self._step, self.link, self.length, self.core, self.least
         state = matched = 0
         open_runs: dict[int, list[int]] = {}
         for at, w in enumerate(words):
@@ -108,11 +126,13 @@ class ItemAutomaton:
             if n is None:
                 state = matched = 0
             else:
-                while state and n not in nexts[state]:
+                to = step(state, n)
+                while state and to < 0:
                     state = link[state]
                     matched = length[state]
-                if n in nexts[state]:
-                    state = nexts[state][n]
+                    to = step(state, n)
+                if to >= 0:
+                    state = to
                     matched += 1
             if matched >= least:
                 found = self.items[core[state]]
@@ -145,15 +165,11 @@ def leaked_spans(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item
     against a corpus: ten million words of items are twenty passes). The automaton of a pass has at most two states
     a word, which bounds what is broadcast.
     """
-    sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(doc_id).cast("long").alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    schema = f"{doc_id} bigint, {item_id} bigint, first_word int, n_words int, text_words int"
-    passes, batch, size = [], [], 0
+    spans = None
+    for shared in _automata(items, item_id, item_text, least, words_a_pass):
 
-    def one_pass(held: list[tuple[int, list[str]]]) -> DataFrame:
-        shared = sc.broadcast(ItemAutomaton(held, least))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             automaton = shared.value
             for b in batches:
                 out: list[tuple[int, int, int, int, int]] = []
@@ -163,77 +179,129 @@ def leaked_spans(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item
                         out += [(row, item, first, end - first, len(words)) for item, first, end in automaton.matches(words)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, _SPANS)], schema=_SPANS)
 
-        return texts.mapInArrow(run, "row bigint, item bigint, first_word int, n_words int, text_words int").toDF(doc_id, item_id, "first_word", "n_words", "text_words")
+        found = texts.mapInArrow(run, "row bigint, item bigint, first_word int, n_words int, text_words int").toDF(doc_id, item_id, "first_word", "n_words", "text_words")
+        spans = found if spans is None else spans.unionByName(found)
+    return docs.sparkSession.createDataFrame([], f"{doc_id} bigint, {item_id} bigint, first_word int, n_words int, text_words int") if spans is None else spans
+
+
+def _automata(items: DataFrame, item_id: str, item_text: str, least: int, words_a_pass: int) -> list[Broadcast]:
+    """Automata of the items, broadcast, each of about ``words_a_pass`` words.
 
-    # Items come to the driver one partition at a time and are let go of with each pass.
+    Items come to the driver one partition at a time and are let go of with each automaton.
+    """
+    sc, out, batch, size = items.sparkSession.sparkContext, [], [], 0
     for row in items.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text")).where(F.col("item").isNotNull() & F.col("text").isNotNull()).toLocalIterator():
         words = words_of(row.text)
         if len(words) < least:
             continue
         if batch and size + len(words) > words_a_pass:
-            passes.append(one_pass(batch))
+            out.append(sc.broadcast(ItemAutomaton(batch, least)))
             batch, size = [], 0
         batch.append((row.item, words))
         size += len(words)
-    if batch:
-        passes.append(one_pass(batch))
-    if not passes:
-        return docs.sparkSession.createDataFrame([], schema)
-    spans = passes[0]
-    for more in passes[1:]:
-        spans = spans.unionByName(more)
-    return spans
+    return [*out, sc.broadcast(ItemAutomaton(batch, least))] if batch else out
+
+
+_CLEANED = "text string, removed_words int, dropped boolean"
+
+
+def _cleaned(text: str | None, gone: set[int], most_coverage: float) -> tuple[str | None, int, bool]:
+    """(text, removed_words, dropped) of a text whose words at the positions in gone are leaked."""
+    if not gone:
+        return text, 0, False
+    places = word_places(text)
+    if len(gone) > most_coverage * len(places):
+        return None, len(gone), True
+    return _cut(text, places, gone), len(gone), False
 
 
 def without_leaks(docs: DataFrame, doc_id: str, text: str, spans: DataFrame, least: int = LEAST_WORDS, most_coverage: float = 0.5) -> DataFrame:
     """(<doc_id>, text, removed_words, dropped): the documents without their leaked spans of at least ``least`` words.
 
     A document of whose words more than ``most_coverage`` are leaked is dropped whole: its text is null and dropped is
-    true. Documents without spans come as they are. The words taken out go with what stands between them; what is
-    before and after stays as it was, joined by a blank.
+    true. Documents without spans come as they are. The words taken out go with what stands between them; everything
+    before and after is, byte for byte, as it was.
 
     Cases: null texts stay null. Documents must have distinct ids. Other columns are ignored.
     """
     ranges = spans.where(F.col("n_words") >= least).groupBy(F.col(doc_id).alias("_id")).agg(F.collect_set(F.struct("first_word", "n_words")).alias("_ranges"))
     joined = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).join(ranges, F.col("_doc") == F.col("_id"), "left")
-    to_do = joined.where(F.col("_ranges").isNotNull()).select("_doc", "_text", "_ranges")
     kind = docs.select(doc_id).schema[0].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
         for b in batches:
-            out = []
-            for doc, t, found in zip(b["_doc"], b["_text"], b["_ranges"]):
-                gone: set[int] = set()
-                for r in found:
-                    gone.update(range(r["first_word"], r["first_word"] + r["n_words"]))
-                total = len(words_of(t))
-                if len(gone) > most_coverage * total:
-                    out.append((doc, None, len(gone), True))
-                    continue
-                out.append((doc, _cut(t, gone), len(gone), False))
-            yield type(b)(out, columns=["doc", "text", "removed_words", "dropped"])
+            rows = [(doc, *_cleaned(t, {w for r in found for w in range(r["first_word"], r["first_word"] + r["n_words"])}, most_coverage)) for doc, t, found in zip(b["_doc"], b["_text"], b["_ranges"])]
+            yield type(b)(rows, columns=["doc", "text", "removed_words", "dropped"])
 
-    cleaned = to_do.mapInPandas(run, f"doc {kind}, text string, removed_words int, dropped boolean").toDF(doc_id, "text", "removed_words", "dropped")
+    cleaned = joined.where(F.col("_ranges").isNotNull()).select("_doc", "_text", "_ranges").mapInPandas(run, f"doc {kind}, {_CLEANED}").toDF(doc_id, "text", "removed_words", "dropped")
     same = joined.where(F.col("_ranges").isNull()).select(F.col("_doc").alias(doc_id), F.col("_text").alias("text"), F.lit(0).alias("removed_words"), F.lit(False).alias("dropped"))
     return same.unionByName(cleaned)
 
 
-def _cut(text: str, gone: set[int]) -> str:
-    """text without the words whose positions (as words_of counts them) are in gone, and what stands between two such."""
-    places = [m.span() for m in _WORD.finditer(_GONE.sub("", unicodedata.normalize("NFKC", text)))]
-    whole = _GONE.sub("", unicodedata.normalize("NFKC", text))
-    if len(places) != len(words_of(text)):
-        # Lower case changed the number of words (rare letters): the text in lower case has the right places.
-        whole = _GONE.sub("", unicodedata.normalize("NFKC", text).lower())
-        places = [m.span() for m in _WORD.finditer(whole)]
+def cleaned_texts(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, least: int = LEAST_WORDS, most_coverage: float = 0.5, words_a_pass: int = WORDS_A_PASS) -> DataFrame:
+    """What without_leaks gives for the documents' leaked_spans, found and cut in one reading of the documents without a shuffle.
+
+    Items that fill several automata are searched in several passes, whose spans are put together by document as there.
+    Repeated ids are cleaned each by itself.
+    """
+    automata = _automata(items, item_id, item_text, least, words_a_pass)
+    if len(automata) > 1:
+        return without_leaks(docs, doc_id, text, leaked_spans(docs, doc_id, text, items, item_id, item_text, least, words_a_pass), least, most_coverage)
+    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+    if not automata:
+        return rows.select(F.col("doc").alias(doc_id), "text", F.lit(0).alias("removed_words"), F.lit(False).alias("dropped"))
+
+    def run(batches: Iterator) -> Iterator:
+        automaton = automata[0].value
+        for b in batches:
+            out = []
+            for doc, t in zip(b["doc"], b["text"]):
+                words = words_of(t)
+                gone = {w for _, first, end in automaton.matches(words) for w in range(first, end)} if len(words) >= least else set()
+                out.append((doc, *_cleaned(t, gone, most_coverage)))
+            yield type(b)(out, columns=["doc", "text", "removed_words", "dropped"])
+
+    return rows.mapInPandas(run, f"doc {dict(rows.dtypes)['doc']}, {_CLEANED}").withColumnRenamed("doc", doc_id)
+
+
+def _pieces(text: str) -> Iterator[tuple[int, int, str]]:
+    """(from, to, normal form) of pieces of a text that NFKC treats apart, in order: mostly single characters with their marks."""
+    at, normal = 0, ""
+    for i, c in enumerate(text):
+        own = unicodedata.normalize("NFKC", c)
+        # A piece ends where the next character neither combines with it nor begins with a mark.
+        if i > at and (c.isascii() or (own and not unicodedata.combining(own[0]) and unicodedata.normalize("NFKC", text[at : i + 1]) == normal + own)):
+            yield at, i, normal
+            at, normal = i, own
+        else:
+            normal = unicodedata.normalize("NFKC", text[at : i + 1])
+    if at < len(text):
+        yield at, len(text), normal
+
+
+def word_places(text: str) -> list[tuple[int, int]]:
+    """(from, to) of each word of words_of in the text as it is written."""
+    if text.isascii():
+        return [m.span() for m in _WORD.finditer(text)]
+    letters, froms, tos = [], [], []
+    for a, b, normal in _pieces(text):
+        for x in normal.lower():
+            if x not in INVISIBLE:
+                letters.append(x)
+                froms.append(a)
+                tos.append(b)
+    return [(froms[m.start()], tos[m.end() - 1]) for m in _WORD.finditer("".join(letters))]
+
+
+def _cut(text: str, places: list[tuple[int, int]], gone: set[int]) -> str:
+    """text without the words whose positions are in gone, and what stands between two such; the rest is untouched."""
     kept, at, i = [], 0, 0
     while i < len(places):
         if i in gone:
-            j = i
-            while j + 1 < len(places) and j + 1 in gone:
-                j += 1
-            kept.append(whole[at : places[i][0]].rstrip())
-            at, i = places[j][1], j
+            first = i
+            while i + 1 < len(places) and i + 1 in gone:
+                i += 1
+            kept.append(text[at : places[first][0]])
+            at = places[i][1]
         i += 1
-    kept.append(whole[at:].lstrip() if kept else whole[at:])
-    return " ".join(k for k in kept if k)
+    return "".join((*kept, text[at:]))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedloom.llm.canonical import OTHER_NAMES, map_to_list
-from deedloom.llm.leaks import leaked_spans, without_leaks
+from deedloom.llm.leaks import cleaned_texts, leaked_spans
 from deedloom.llm.linkage import business_premises, link_premises, register_premises
 from deedloom.llm.quality import text_kinds, text_statistics, train_kinds
 from deedloom.llm.same_place import same_place_pairs, same_places, title_addresses
@@ -73,7 +73,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     """The documents without their leaked spans; mostly leaked ones are dropped."""
-    return without_leaks(table(spark, folder, "documents"), "doc_id", "text", _spans(spark, folder))
+    return cleaned_texts(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:

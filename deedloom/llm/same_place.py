@@ -20,14 +20,20 @@ ROUNDS = 40
 PARTS = ("unit", "number", "building", "street", "street_type", "town", "district", "postcode")
 
 
+def _agreed(fields: list[str]) -> Column:
+    """Whether the records of a group give no two values for any of the fields."""
+    return F.forall(F.array(*[F.coalesce(F.min(c) == F.max(c), F.lit(True)) for c in fields]), lambda same: same)
+
+
 def title_addresses(records: DataFrame) -> DataFrame:
     """One row for each title whose records name one place: title_number and the PARTS, null where not given.
 
-    Titles that pack several values, name several units, or are of land, parking or airspace near a place have none.
-    Records are combined by title before the shuffle.
+    Titles that pack several values, name several units, or are of land, parking or airspace near a place have none. What
+    one record of a title lacks another gives; where their streets, numbers, buildings or towns differ, all parts are those of
+    one record (the greatest). Records are combined by title before the shuffle.
     """
     fields = ["unit_id", "street_number", "building_name", "street_name", "postcode", "city", "district", "property_address"]
-    cells = [F.max(c).alias(c) for c in fields]
+    cells = [F.when(_agreed(fields), F.max(c)).otherwise(F.max(F.struct(*fields))[c]).alias(c) for c in fields]
     units = [F.min(F.coalesce("unit_id", F.lit(""))).alias("_least"), F.max(F.coalesce("unit_id", F.lit(""))).alias("_most")]
     titles = records.where(F.col("title_number").isNotNull()).groupBy("title_number").agg(*cells, *units)
     one = titles.where((F.col("_least") == F.col("_most")) & ~F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False)) & packed_kind(F.col("property_address")).isNull())
@@ -144,8 +150,9 @@ def same_places(addresses: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 def same_place_pairs(addresses: DataFrame, key: str) -> DataFrame:
     """(a, b): the keys of each two addresses of one place, a < b, once.
 
-    Pairs are those of a place whose units, numbers and streets agree directly; the number of rows is that of the pairs
-    that are asked for. Addresses without a place have none; repeated keys count once.
+    Pairs are those of a place whose units are equal and whose numbers are equal where both are given; their streets agree
+    directly or through other addresses of the place. The number of rows is that of the pairs that are asked for. Addresses
+    without a place have none; repeated keys count once.
     """
     members, _ = same_places(addresses, key)
     held = cut(members.where(F.col("place").isNotNull()).select(F.col(key).alias("key"), "place", *PARTS).dropDuplicates(["key"]))

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deedloom.llm.boosting import BoostedTrees, Calibration, softmax
-from deedloom.llm.leaks import ItemAutomaton, leaked_spans, without_leaks, words_of
+from deedloom.llm.leaks import ItemAutomaton, cleaned_texts, leaked_spans, without_leaks, word_places, words_of
 from deedloom.llm.forms import NAMES, batch_statistics, word_hashes
 from deedloom.llm.quality import common_words, line_kinds, text_kinds, text_statistics, train_kinds
 from deedloom.llm.tokens import TOKENIZERS, WORDS, WordEncoder, encode_texts, read_ranks
@@ -98,7 +98,34 @@ def test_leaked_spans(spark):
     assert leaked_spans(docs.limit(0), "doc_id", "text", items, "item_id", "text").collect() == []
     one = docs.where("doc_id in (1, 3, 4, 5, 7)").dropDuplicates(["doc_id"])
     got = {r.doc_id: (r.text, r.removed_words, r.dropped) for r in without_leaks(one, "doc_id", "text", leaked_spans(one, "doc_id", "text", items, "item_id", "text"), most_coverage=0.9).collect()}
-    assert got[1] == ("before after", 12, False) and got[3] == (None, 0, False) and got[4] == ("", 0, False) and got[5] == (None, 30, True) and got[7] == (other, 0, False)
+    assert got[1] == ("before  after", 12, False) and got[3] == (None, 0, False) and got[4] == ("", 0, False) and got[5] == (None, 30, True) and got[7] == (other, 0, False)
+
+
+def test_places_of_words_in_the_text_as_written():
+    """Each word's place in the original text normalises to the word, whatever normal form, case or invisible characters do to it."""
+    rng = random.Random(11)
+    texts = ["Café ① ﬁne", "e\u0301a\u0323\u0302b ＡＢ１ ㌔x ½ İstanbul ΣΑΣ", "a\u200bb\u00adc d\ufeffe", "ﾊﾞﾊ か\u3099 각 각", "x y", "日本語 text", "", "\u0301a", "ſt ﬅ"]
+    texts += ["".join(rng.choice(["a", "B", "é", "e\u0301", "ﬁ", "①", " ", "-", "\u200b", "\u00ad", "ﾊ", "ﾞ", "ᄀ", "ᅡ", "ᆨ", "½", "İ", "ß", "Σ", "\u0323", "_", "９"]) for _ in range(rng.randint(1, 25))) for _ in range(500)]
+    for t in texts:
+        places = word_places(t)
+        assert len(places) == len(words_of(t)), t
+        assert all(a < b for a, b in places) and all(x[1] <= y[1] for x, y in zip(places, places[1:])), t
+    plain = "Café ① ﬁne\u00a0"
+    assert [plain[a:b] for a, b in word_places(plain)] == ["Café", "①", "ﬁne"]
+
+
+def test_cleaned_texts(spark):
+    """Outside the spans every byte stays; one reading and several passes give the same."""
+    item = " ".join(f"w{i}" for i in range(30))
+    items = spark.createDataFrame([(1, item), (2, " ".join(f"z{i}" for i in range(20)))], "item_id long, text string")
+    leak = "—".join(item.upper().split()[4:18])
+    before, after = "Café ① ﬁne e\u0301 x\u200by:\t", ";  ½ Rest\u00a0of İt " + "tail " * 20
+    docs = _docs(spark, [(1, before + leak + after, 0, ""), (2, after, 0, ""), (3, None, 0, ""), (4, "", 0, ""), (5, leak, 0, ""), (6, leak.lower() + " " + before + " ".join(f"z{i}" for i in range(12)) + after * 2, 0, "")])
+    got = {r.doc_id: (r.text, r.removed_words, r.dropped) for r in cleaned_texts(docs, "doc_id", "text", items, "item_id", "text").collect()}
+    assert got == {1: (before + after, 14, False), 2: (after, 0, False), 3: (None, 0, False), 4: ("", 0, False), 5: (None, 14, True), 6: (" " + before + after * 2, 26, False)}
+    several = cleaned_texts(docs, "doc_id", "text", items, "item_id", "text", words_a_pass=30)
+    assert {r.doc_id: (r.text, r.removed_words, r.dropped) for r in several.collect()} == got
+    assert cleaned_texts(docs.limit(0), "doc_id", "text", items, "item_id", "text").collect() == [] and cleaned_texts(docs, "doc_id", "text", items.limit(0), "item_id", "text").where("removed_words > 0").collect() == []
 
 
 PROSE = "The owner wrote that the lease had run out. Nobody could say who had paid for the wall beside the yard."
