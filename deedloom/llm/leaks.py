@@ -55,7 +55,13 @@ class ItemAutomaton:
         for s in sorted(range(len(self.link)), key=self.length.__getitem__):
             if self.length[s] >= least:
                 self.core[s] = s if self.length[self.link[s]] < least else self.core[self.link[s]]
-        self.items = {s: frozenset(ends[s]) for s in set(self.core) if s}
+        # Many states have the same items; each set is kept once.
+        sets: dict[frozenset[int], int] = {}
+        self.held = array("i", [-1]) * len(self.link)
+        for s in set(self.core):
+            if s:
+                self.held[s] = sets.setdefault(frozenset(ends[s]), len(sets))
+        self.sets = list(sets)
         self._pack()
 
     def _pack(self) -> None:
@@ -135,7 +141,7 @@ class ItemAutomaton:
                     state = to
                     matched += 1
             if matched >= least:
-                found = self.items[core[state]]
+                found = self.sets[self.held[core[state]]]
                 for item in found:
                     run = open_runs.get(item)
                     if run and run[1] == at:
