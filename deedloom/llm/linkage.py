@@ -98,14 +98,15 @@ def _town_names(forms: DataFrame) -> DataFrame:
     """(town, name): the towns that are slips of far commoner ones, with the commonest of those."""
     towns = cut(forms.where(F.col("town").isNotNull()).groupBy("town").agg(F.count(F.lit(1)).alias("n")))
     keyed = towns.select("town", "n", F.explode(remains(F.col("town"))).alias("key"))
-    near = keyed.join(keyed.select(F.col("town").alias("other"), F.col("n").alias("m"), "key"), "key").where((F.col("m") >= TOWN_RATIO * F.col("n")) & close(F.col("town"), F.col("other")))
+    common = keyed.where(F.col("n") >= TOWN_RATIO).select(F.col("town").alias("other"), F.col("n").alias("m"), "key")
+    near = keyed.join(common, "key").where(F.col("m") >= TOWN_RATIO * F.col("n")).select("town", "other", "m").distinct().where(close(F.col("town"), F.col("other")))
     return near.groupBy("town").agg(F.max_by("other", F.struct("m", "other")).alias("name"))
 
 
 def _placed(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides' forms with places: the town as it is mostly written or, without one, all towns that addresses of the postcode's area name."""
     both = left.select("town", "postcode").unionByName(right.select("town", "postcode"))
-    names = _town_names(both)
+    names = cut(_town_names(both))
     named = lambda side: side.join(small(names), "town", "left").withColumn("town", F.coalesce("name", "town")).drop("name")
     # Towns that a single address of the area names may be mistakes.
     in_area = named(both).where(F.col("town").isNotNull()).groupBy(_area(F.col("postcode")).alias("area"), "town").agg(F.count(F.lit(1)).alias("n")).where(F.col("area").isNotNull() & (F.col("n") > 1))
@@ -139,12 +140,13 @@ def _attributes(forms: DataFrame) -> DataFrame:
 
 def weighted_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """(a, b, weight) for forms that share attributes: the sum of what each shared one weighs, the more the fewer have it."""
-    la, ra = _attributes(left), _attributes(right)
-    # Rarity is known from one count over both sides; attributes of one side only link nothing.
-    counts = la.select("attribute", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(ra.select("attribute", F.lit(0).alias("l"), F.lit(1).alias("r"))).groupBy("attribute").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    shared = counts.where((F.col("l") > 0) & (F.col("r") > 0)).select("attribute", (1 / F.log1p((F.col("l") + F.col("r")).cast("double"))).alias("rarity"))
-    pairs = la.withColumnRenamed("form", "a").join(shared, "attribute").join(ra.withColumnRenamed("form", "b"), "attribute")
-    return pairs.groupBy("a", "b").agg(F.sum("rarity").alias("weight"))
+    # Both sides' attributes are shuffled once: a window over an attribute counts them, and both sides of the join read it.
+    rows = _attributes(left).withColumn("side", F.lit(0)).unionByName(_attributes(right).withColumn("side", F.lit(1)))
+    by_attribute = Window.partitionBy("attribute")
+    counted = rows.withColumns({"n": F.count(F.lit(1)).over(by_attribute), "m": F.sum("side").over(by_attribute)}).where((F.col("m") > 0) & (F.col("m") < F.col("n")))
+    a = counted.where(F.col("side") == 0).select("attribute", F.col("form").alias("a"), (1 / F.log1p(F.col("n").cast("double"))).alias("rarity"))
+    b = counted.where(F.col("side") == 1).select("attribute", F.col("form").alias("b"))
+    return a.join(b, "attribute").groupBy("a", "b").agg(F.sum("rarity").alias("weight"))
 
 
 def pruned(candidates: DataFrame, prune: float = PRUNE) -> DataFrame:
