@@ -95,3 +95,11 @@ def clipped(c: Column, low: float | None = None, high: float | None = None) -> C
     """Values below low or above high moved there; null stays null."""
     c = F.when(c < low, F.lit(low)).otherwise(c) if low is not None else c
     return F.when(c > high, F.lit(high)).otherwise(c) if high is not None else c
+
+
+def merged(tables: Sequence[DataFrame], keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Tables joined one after the other by their keys (inner, left or full); other columns must differ in name. Null keys match nothing."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.join(t, list(keys), how)
+    return out

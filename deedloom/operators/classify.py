@@ -117,3 +117,13 @@ def drop_repeated_classes(df: DataFrame, order: list[str | Column], class_col: s
     rows = df.where(~home).select(F.col(title).alias("_title"), F.col(class_col).alias("_class"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), key.alias("_key"))
     first = rows.groupBy("_title", "_class").agg(F.min_by("_row", "_key").alias("_row")).select("_row.*")
     return df.where(home).unionByName(first)
+
+
+def class_by_number(df: DataFrame, class_col: str = "class", unknown: str = UNKNOWN) -> DataFrame:
+    """df in which unknown rows with a street number are residential."""
+    return df.withColumn(class_col, F.when((F.col(class_col) == unknown) & F.col("street_number").isNotNull(), "residential").otherwise(F.col(class_col)))
+
+
+def relabelled(df: DataFrame, column: str, names: dict[str, str]) -> DataFrame:
+    """df with values of a column renamed; others and null stay."""
+    return df.replace(names, subset=[column])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -103,3 +103,20 @@ def bio_spans(labels: Column) -> Column:
         return F.struct(done.alias("done"), (at + 1).alias("at"))
 
     return F.aggregate(labels, start, step, lambda acc: acc["done"])
+
+
+def truth_and_prediction(truth: DataFrame, predicted: DataFrame, key: str, suffixes: tuple[str, str] = ("_truth", "_predicted")) -> DataFrame:
+    """Rows of both sides with equal keys, side by side; columns that both have get the suffixes. Null keys and keys of one side have no row; repeated ones pair."""
+    both = set(truth.columns) & set(predicted.columns) - {key}
+    named = lambda df, end: df.select(key, *[F.col(f"`{c}`").alias(c + end if c in both else c) for c in df.columns if c != key])
+    return named(truth, suffixes[0]).join(named(predicted, suffixes[1]), key)
+
+
+def error_texts(errors: DataFrame, texts: DataFrame, n: int = 10) -> DataFrame:
+    """(label, error, text, n): what the wrong or missed spans of span_errors say, the ``n`` most frequent (ties by text) of each label and error.
+
+    texts: (datapoint_id, text). Offsets count from 0. Counts are combined before they are ranked.
+    """
+    said = errors.join(texts.select("datapoint_id", F.col("text").alias("_t")), "datapoint_id").select("label", "error", F.substr(F.col("_t"), F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+    counts = said.groupBy("label", "error", "text").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("_k", F.row_number().over(Window.partitionBy("label", "error").orderBy(F.desc("n"), "text"))).where(F.col("_k") <= n).drop("_k")

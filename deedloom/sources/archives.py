@@ -156,8 +156,8 @@ def read_businesses(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.nullif(F.col(f"_c{i}").cast("string"), F.lit("")).alias(n) for i, n in REGISTER_POSITIONS.items()])
 
 
-def businesses_located(raw: DataFrame, lookup: DataFrame) -> DataFrame:
-    """(street_name2, street_number, building_name, area codes) of entries that are premises and whose postcode is known.
+def businesses_located(raw: DataFrame, lookup: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(kept columns, street_name2, street_number, building_name, area codes) of entries that are premises and whose postcode is known.
 
     Entries with a null code or description are kept. Numbers in the middle of dashes are no house numbers, nor are
     those of the one named shopping centre.
@@ -168,7 +168,7 @@ def businesses_located(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     number = clean_street_number(F.col("number_or_name"))
     number = F.when(~F.coalesce(F.col("full_property_identifier").contains("WESTFIELD SHOPPING CENTRE"), F.lit(False)) & ~F.coalesce(number.rlike(r"-\d+-"), F.lit(False)), number)
     named = F.nullif(F.regexp_extract(F.lower("number_or_name"), HOUSE_NAME, 1), F.lit(""))
-    return keyed.select("street_name2", number.alias("street_number"), named.alias("building_name"), "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
+    return keyed.select(*keep, "street_name2", number.alias("street_number"), named.alias("building_name"), "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
 
 
 # The sixteen columns of a transaction file, and those kept.
@@ -203,3 +203,15 @@ def annotations_only(df: DataFrame) -> DataFrame:
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Parquet snapshots, one file a month, with snapshot_date from the file's name; one plan over all files."""
     return spark.read.option("mergeSchema", "true").parquet(path).select("*", snapshot_month(F.col("_metadata.file_name")).alias("snapshot_date"))
+
+
+def with_file_metadata(df: DataFrame, file: str) -> DataFrame:
+    """df with filename (without folders and extension) and snapshot_date (from the name, null if it has none) of the files named in a column."""
+    name = F.regexp_replace(F.substring_index(file, "/", -1), r"(\.csv|\.parquet|\.zip|\.json|\.gz)+$", "")
+    return df.withColumns({"filename": name, "snapshot_date": snapshot_month(F.substring_index(file, "/", -1))})
+
+
+def read_dwellings(spark: SparkSession, path: str, area: str = "msoa11cd", count: str = "dwellings") -> DataFrame:
+    """(<area>, dwellings): counts of dwellings from CSV files with a header, summed by area; counts that aren't numbers and null areas have no part."""
+    raw = spark.read.csv(path, header=True).select(F.col(f"`{area}`").alias(area), F.col(f"`{count}`").try_cast("bigint").alias("n"))
+    return raw.where(F.col(area).isNotNull() & F.col("n").isNotNull()).groupBy(area).agg(F.sum("n").alias("dwellings"))

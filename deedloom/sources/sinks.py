@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import os
+import re
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +79,42 @@ def write_metrics(df: DataFrame, path: str) -> None:
     (df.coalesce(1) if at_most(df, ONE_FILE_ROWS) else df).write.mode("overwrite").csv(path, header=True)
 
 
+def write_zipped_csv(df: DataFrame, path: str, member: str = "data.csv", name: str = "part", delimiter: str = ",", header: bool = True) -> int:
+    """Write a table as zip archives with one delimited member each, <path>/<name>-<partition>.zip; gives their number.
+
+    Values are written as strings, null as nothing. Each partition is written by its task, so parts should fit in memory
+    when packed; a task that runs again writes the same archive again. Empty partitions have none.
+    """
+    columns = df.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packed, rows = io.BytesIO(), 0
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z, z.open(member, "w") as f:
+            text = io.TextIOWrapper(f, encoding="utf-8", newline="")
+            to = csv.writer(text, delimiter=delimiter)
+            if header:
+                to.writerow(columns)
+            for b in batches:
+                to.writerows([["" if v is None else v for v in row] for row in b.itertuples(index=False, name=None)])
+                rows += len(b)
+            text.flush()
+            text.detach()
+        file = f"{name}-{TaskContext.get().partitionId()}.zip"
+        if rows and re.match(r"file:|[^:]*$", path):
+            folder = re.sub(r"^file:/*", "/", path)
+            os.makedirs(folder, exist_ok=True)
+            with open(os.path.join(folder, file), "wb") as out:
+                out.write(packed.getvalue())
+        elif rows:
+            system, folder = pafs.FileSystem.from_uri(path)
+            system.create_dir(folder)
+            with system.open_output_stream(f"{folder}/{file}") as out:
+                out.write(packed.getvalue())
+        yield pd.DataFrame({"n": [int(rows > 0)]})
+
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).mapInPandas(run, "n int").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+
+
 def published_gazetteer(df: DataFrame) -> DataFrame:
     """A building gazetteer as it is published: every fraction is 1."""
     return df.withColumn("fraction", F.lit(1.0))
