@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedloom.functions.text import clean_street_number, commercial_park_tag, flat_tag, joined_address, last_number, span_start, street_key, token_spacing, with_missing_columns, with_spans
+from deedloom.functions.text import TOKEN_SPACING, clean_street_number, commercial_park_tag, flat_tag, joined_address, last_number, span_start, street_key, token_spacing, with_missing_columns, with_spans
 from deedloom.functions.values import compact
-from deedloom.operators.classify import classify, default_rules, drop_repeated_classes, fill_unknown_classes
+from deedloom.operators.classify import class_by_number, classify, default_rules, drop_repeated_classes, fill_unknown_classes, relabelled
 from deedloom.operators.expand import expand_column, expand_numbers, needs_expansion, unique_ids
 from deedloom.operators.gazetteers import LEAST_FRACTION, building_gazetteer, building_mentions, district_gazetteer, street_gazetteer, top_share
 from deedloom.operators.geo import add_areas, fill_by_gazetteers, forward_fill_in_title
@@ -19,6 +20,7 @@ from deedloom.operators.match import add_existence_flags
 from deedloom.operators.snapshots import latest_rows
 from deedloom.plans.pipeline import run_pipeline
 from deedloom.queries.tables import table
+from deedloom.sources.archives import HOUSE_STOPS, NO_PREMISES_CODES, NO_PREMISES_TEXT, ONE_CENTRE, businesses_located
 
 _FIELDS = ["title_number", "unit_id", "building_name", "street_number", "street_name", "postcode", "city", "district", "region", "property_address", "country_incorporated", "class", "is_multi"]
 
@@ -28,12 +30,8 @@ def records(spark: SparkSession, folder: str, *more: str) -> DataFrame:
 
 
 def businesses(spark: SparkSession, folder: str) -> DataFrame:
-    """The business register with keys and areas, advertising and parking left out (nulls kept)."""
-    voa = table(spark, folder, "voa_register").distinct()
-    code, text = F.col("primary_and_secondary_description_code"), F.col("primary_description_text")
-    kept = voa.where(F.coalesce(~code.isin("C0", "CP", "CP1", "CX", "MX"), F.lit(True)) & F.coalesce(~text.contains("ADVERTISING"), F.lit(True)))
-    keyed = kept.withColumns({"postcode2": compact(F.col("postcode")), "street_name2": street_key(F.lower("street")), "street_number": clean_street_number(F.col("number_or_name")), "building_name": F.lower("number_or_name")})
-    return keyed.join(table(spark, folder, "postcode_lookup"), "postcode2").select("voa_id", "street_name2", "street_number", "building_name", "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
+    """The business register's premises with keys and areas."""
+    return businesses_located(table(spark, folder, "voa_register").distinct(), table(spark, folder, "postcode_lookup"), keep=("voa_id",))
 
 
 def located(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,6 +98,13 @@ def building_gazetteer_top1(spark: SparkSession, folder: str) -> DataFrame:
     return building_gazetteer(building_mentions(table(spark, folder, "price_paid_transactions").distinct(), "transaction_unique_identifier"))
 
 
+def building_gazetteer_of_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The building gazetteer, learned from the records that their postcode locates instead of from sales."""
+    named = records(spark, folder).select(F.col("building_name").alias("text"), compact(F.col("postcode")).alias("postcode2")).join(table(spark, folder, "postcode_lookup"), "postcode2")
+    mentions = named.select("text", "lad11cd", "lsoa11cd", "oa11cd", "msoa11cd").dropna().distinct()
+    return building_gazetteer(mentions)
+
+
 def _filled(spark: SparkSession, folder: str) -> DataFrame:
     """Located records with areas filled, buildings from the records that their postcode locates."""
     streets = street_gazetteer(table(spark, folder, "price_paid_transactions").distinct())
@@ -145,6 +150,16 @@ def span_find_validate(spark: SparkSession, folder: str) -> DataFrame:
     return with_spans(rows).select("ocod_id", "start", "end", "span_valid", (span_start(F.col("property_address"), F.col("text")) >= 0).alias("found"))
 
 
+def span_valid_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return span_find_validate(spark, folder).groupBy("span_valid").agg(F.count(F.lit(1)).alias("n"))
+
+
+def class_by_number_filled(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes with unknown ones told by their number, and shorter names for two of them."""
+    known = records(spark, folder).withColumn("class", F.coalesce(F.lower(F.trim("class")), F.lit("unknown")))
+    return relabelled(class_by_number(known), "class", {"residential": "domestic", "carpark": "parking"}).select("ocod_id", "class")
+
+
 def missing_columns_filled(spark: SparkSession, folder: str) -> DataFrame:
     return with_missing_columns(records(spark, folder).select("ocod_id", "unit_id"), ["unit_id", "unit_type", "number_filter"], "?")
 
@@ -194,7 +209,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    area_join, business_register, existence_flags, first_match_rules, group_class_fill, keep_first_dedupe, unique_row_ids, range_expand_filter, range_expand_column, street_gazetteer_top1, district_gazetteer_top1, building_gazetteer_top1,
+    area_join, business_register, existence_flags, first_match_rules, group_class_fill, keep_first_dedupe, unique_row_ids, range_expand_filter, range_expand_column, street_gazetteer_top1, district_gazetteer_top1, building_gazetteer_top1, building_gazetteer_of_records, span_valid_counts, class_by_number_filled,
     coalesce_fill_chain, group_forward_fill, street_key_normalise, clean_numbers, keyword_flags, token_spaced, address_concat, span_find_validate, missing_columns_filled, span_extract, span_overlaps, span_standard, entity_summary, entity_components, address_tree, pipeline,
 )}
 
@@ -218,10 +233,20 @@ def _clean(c: str) -> str:
     return f"CASE WHEN {x} NOT IN ('', '-') THEN {x} END"
 
 
+def _house_name(c: str) -> str:
+    """Words before the first house in a text, after the last word there that ends a name or holds a digit."""
+    bad = r"[0-9\n]|\b(?:" + "|".join(HOUSE_STOPS) + r")\b"
+    words = f"string_split(regexp_extract(lower({c}), '^(.*?) house\\b', 1), ' ')"
+    ends = f"coalesce(list_max(list_filter(range(1, len({words}) + 1), lambda i: regexp_matches({words}[i], '{bad}'))), 0)"
+    return f"CASE WHEN regexp_matches(lower({c}), ' house\\b') AND {ends} < len({words}) THEN array_to_string({words}[{ends} + 1:], ' ') || ' house' END"
+
+
+_NUMBER = _clean("v.number_or_name")
 _BUSINESS = f"""business AS (
-  SELECT v.voa_id, {_KEY('lower(v.street)')} AS street_name2, {_clean('v.number_or_name')} AS street_number, lower(v.number_or_name) AS building_name, l.oa11cd, l.lsoa11cd, l.msoa11cd, l.lad11cd
+  SELECT v.voa_id, {_KEY('lower(v.street)')} AS street_name2, CASE WHEN NOT coalesce(contains(full_property_identifier, '{ONE_CENTRE}'), false) AND NOT coalesce(regexp_matches({_NUMBER}, '-\\d+-'), false) THEN {_NUMBER} END AS street_number,
+    {_house_name('v.number_or_name')} AS building_name, l.oa11cd, l.lsoa11cd, l.msoa11cd, l.lad11cd
   FROM (SELECT DISTINCT * FROM voa_register) v JOIN postcode_lookup l ON l.postcode2 = {_PC('v.postcode')}
-  WHERE coalesce(primary_and_secondary_description_code NOT IN ('C0', 'CP', 'CP1', 'CX', 'MX'), true) AND coalesce(NOT contains(primary_description_text, 'ADVERTISING'), true)
+  WHERE coalesce(primary_and_secondary_description_code NOT IN {NO_PREMISES_CODES}, true) AND coalesce(NOT contains(primary_description_text, '{NO_PREMISES_TEXT}'), true)
 )"""
 _FLAGS = """flags AS (
   SELECT o.*, EXISTS (SELECT 1 FROM business b WHERE b.oa11cd = o.oa11cd) AS oa_match, EXISTS (SELECT 1 FROM business b WHERE b.lsoa11cd = o.lsoa11cd) AS lsoa_match,
@@ -311,3 +336,36 @@ FROM (SELECT DISTINCT * FROM price_paid_transactions)""",
 SELECT ocod_id, CAST(s AS INTEGER) AS start, CAST(CASE WHEN s >= 0 THEN s + length(t) ELSE -1 END AS INTEGER) AS "end", s >= 0 AND lower(substr(property_address, s + 1, length(t))) = lower(t) AS span_valid, s >= 0 AS found FROM p""",
     "missing_columns_filled": f"WITH {_RECORDS} SELECT ocod_id, unit_id, '?' AS unit_type, '?' AS number_filter FROM records",
 }
+ORACLE["building_gazetteer_of_records"] = f"""WITH {_RECORDS}, mentions AS (SELECT DISTINCT r.building_name AS text, l.lad11cd, l.lsoa11cd, l.oa11cd, l.msoa11cd FROM records r JOIN postcode_lookup l ON l.postcode2 = {_PC('r.postcode')}
+  WHERE r.building_name IS NOT NULL AND l.lad11cd IS NOT NULL AND l.lsoa11cd IS NOT NULL AND l.oa11cd IS NOT NULL AND l.msoa11cd IS NOT NULL
+), counts AS (SELECT lower(text) AS building_name, lad11cd, lsoa11cd, oa11cd, msoa11cd, count(*) AS n FROM mentions GROUP BY ALL),
+ranked AS (SELECT *, n / sum(n) OVER (PARTITION BY building_name, lad11cd) AS fraction, row_number() OVER (PARTITION BY building_name, lad11cd ORDER BY n DESC, lsoa11cd, oa11cd, msoa11cd) AS k FROM counts)
+SELECT building_name, oa11cd, lsoa11cd, msoa11cd, lad11cd, fraction FROM ranked WHERE k = 1 AND fraction > {LEAST_FRACTION}"""
+ORACLE["span_valid_counts"] = f"SELECT span_valid, count(*) AS n FROM ({ORACLE['span_find_validate']}) GROUP BY span_valid"
+ORACLE["class_by_number_filled"] = f"""WITH {_RECORDS}, k AS (SELECT ocod_id, street_number, coalesce(lower(trim(class)), 'unknown') AS class FROM records), c AS (SELECT ocod_id, CASE WHEN class = 'unknown' AND street_number IS NOT NULL THEN 'residential' ELSE class END AS class FROM k)
+SELECT ocod_id, CASE class WHEN 'residential' THEN 'domestic' WHEN 'carpark' THEN 'parking' ELSE class END AS class FROM c"""
+
+
+def _spacing_sql(c: str) -> str:
+    """The rewrites of token spacing without look-around: what stands around a mark is matched and put back, twice, as neighbours share it."""
+    for pattern, by in TOKEN_SPACING:
+        flags = "(?U)" in pattern
+        pattern = pattern.replace("(?U)", "")
+        before = re.match(r"\(\?<=(\[.*?\])\)", pattern)
+        after = re.search(r"\(\?=(\[.*?\]|\\S)\)$", pattern)
+        mark = pattern[before.end() if before else 0 : after.start() if after else len(pattern)]
+        # Groups of the mark are numbered after the one before it.
+        shift = 1 if before else 0
+        by = re.sub(r"\$(\d)", lambda m, k=shift: f"\\{int(m.group(1)) + k}", by)
+        groups = re.compile(mark).groups
+        whole = (f"({before.group(1)})" if before else "") + mark + (f"({after.group(1)})" if after else "")
+        put = ("\\1" if before else "") + by + (f"\\{groups + shift + 1}" if after else "")
+        if flags:
+            blank = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+            whole = re.sub(r"\\[sS]", lambda m: blank if m.group() == r"\s" else blank.replace("[", "[^", 1), whole).replace(r"\d", r"\p{Nd}")  # noqa: B023
+        for _ in range(2 if after else 1):
+            c = f"regexp_replace({c}, '{whole.replace(chr(39), chr(39) * 2)}', '{put}', 'g')"
+    return c
+
+
+ORACLE["token_spaced"] = f"SELECT doc_id, regexp_replace({_spacing_sql('text')}, '^ | $', '', 'g') AS spaced FROM documents"

@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from deedloom.functions.text import band
 from deedloom.operators import analytics as A
+from deedloom.functions.values import present
+from deedloom.operators.fill import Gap, Level, fill_missing
 from deedloom.operators.prices import area_averages, between_dates, in_years, rolling_averages
-from deedloom.operators.quality import bio_labels, bio_spans, classification_report, diagnose_class, performance_by_rule, span_errors, span_scores
+from deedloom.operators.quality import bio_labels, bio_spans, classification_report, diagnose_class, error_texts, performance_by_rule, span_errors, span_scores, truth_and_prediction
 from deedloom.operators.trends import mean_differences, monthly_means, summary_counts, weighted_series
 from deedloom.queries.properties import _texts, records
 from deedloom.operators.labelling import BUILDING_RULES, DEFAULT_RULES, label_spans, with_spans_of, without_empty, without_overlaps
+from deedloom.operators.snapshots import latest_rows
+from deedloom.queries.register import _value
 from deedloom.queries.tables import table
 
 CLASSES = ["airspace", "business", "carpark", "land", "residential"]
@@ -164,10 +168,16 @@ def large_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
-    """Delivered classes beside ones guessed from the address."""
-    guess = F.when(F.col("property_address").rlike("(?i)^(?:land|site)"), "land").when(F.col("property_address").rlike("(?i)airspace"), "airspace").when(F.col("property_address").rlike("(?i)^(?:parking|garage)"), "carpark").otherwise("residential")
-    rule = F.when(F.col("unit_id").isNotNull(), "unit").otherwise("no unit")
-    return records(spark, folder).where(F.col("class").isin(*CLASSES)).select("ocod_id", F.col("class").alias("truth"), guess.alias("guess"), rule.alias("matched_rule"))
+    """Delivered classes of records beside those that the raw register's text of their title suggests, by title; all records and spellings of classes."""
+    text = table(spark, folder, "titles").where(F.trim("title_number") != "").groupBy(F.upper(F.trim("title_number")).alias("title_number")).agg(F.max("property_address").alias("text"))
+    guess = F.when(F.col("text").rlike("(?i)^(?:land|site)"), "land").when(F.col("text").rlike("(?i)airspace"), "airspace").when(F.col("text").rlike("(?i)^(?:parking|garage)"), "carpark").otherwise("residential")
+    truth = records(spark, folder).select(F.upper(F.trim("title_number")).alias("title_number"), F.coalesce(F.lower(F.trim("class")), F.lit("unknown")).alias("class"), F.when(F.col("unit_id").isNotNull(), "unit").otherwise("no unit").alias("matched_rule"))
+    return truth_and_prediction(truth, text.select("title_number", guess.alias("class")), "title_number").select("title_number", F.col("class_truth").alias("truth"), F.col("class_predicted").alias("guess"), "matched_rule")
+
+
+def truth_beside_prediction(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each delivered class stands beside each guessed one."""
+    return _judged(spark, folder).groupBy("truth", "guess").agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,6 +213,42 @@ def entity_errors(spark: SparkSession, folder: str) -> DataFrame:
     return span_errors(*_span_tables(spark, folder)).groupBy("label", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
+def entity_error_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The most frequent texts of missed and wrong spans."""
+    truth, guessed = _span_tables(spark, folder)
+    # Offsets of these tables count from 1.
+    errors = span_errors(truth, guessed).withColumns({"start": F.col("start") - 1, "end": F.col("end") - 1})
+    return error_texts(errors, records(spark, folder).select(F.col("ocod_id").alias("datapoint_id"), F.col("property_address").alias("text")))
+
+
+def _located_homes(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with areas, nulls where the record has none, and their class as it is delivered."""
+    return latest_rows(table(spark, folder, "ocod"), ["ocod_id"], "loaded_at", ["msoa11cd", "lad11cd", "region"]).withColumns({"snapshot_date": F.lit("2031-01-01").cast("date"), "msoa11cd": present(F.col("msoa11cd")), "lad11cd": present(F.col("lad11cd"))})
+
+
+def weighted_index_lad(spark: SparkSession, folder: str) -> DataFrame:
+    """Weighted averages in which records without an area take their district's; dwellings are the postcodes of an area."""
+    sales = area_averages(_sales(spark, folder)).select(F.lit("2031-01-01").cast("date").alias("snapshot_date"), "msoa11cd", F.floor("price_mean").alias("price_mean"), F.floor("price_median").alias("price_median"))
+    dwellings = table(spark, folder, "postcode_lookup").where(F.col("msoa11cd").isNotNull()).groupBy("msoa11cd").agg(F.count(F.lit(1)).alias("dwellings"))
+    priced = _located_homes(spark, folder).join(sales.select(F.col("msoa11cd").alias("_known")), F.col("msoa11cd") == F.col("_known"), "left").where(F.col("msoa11cd").isNull() | F.col("_known").isNotNull()).drop("_known")
+    out = weighted_series(priced, sales, dwellings, ["region"], lad="lad11cd")
+    return out.select("date", "region", "ocod_mean", "ocod_median", "dwelling_mean", "dwelling_median", "ocod_total_counts", "total_dwelling_count")
+
+
+def median_fills(spark: SparkSession, folder: str) -> DataFrame:
+    """Missing prices of records, filled by the median of the district and class, else of the region, each with 3 votes at least."""
+    rows = latest_rows(table(spark, folder, "ocod"), ["ocod_id"], "loaded_at", ["price_paid", "district", "class", "region"])
+    levels = [Level("district and class", F.concat("district", F.lit("|"), "class"), 3), Level("region", F.col("region"), 3)]
+    return fill_missing(rows, Gap("price_paid", levels), "ocod_id", "median").select("ocod_id", "price_paid_filled", "price_paid_is_filled", "price_paid_fill_level")
+
+
+def merged_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Results by district side by side: records, sales and the district's code."""
+    counts = records(spark, folder).where(F.col("district").isNotNull()).groupBy("district").agg(F.count(F.lit(1)).alias("n_records"))
+    sales = _sales(spark, folder).where(F.col("district").isNotNull()).groupBy("district").agg(F.sum("price").alias("price_sum"))
+    return A.merged([counts, sales, table(spark, folder, "district_gazetteer")], ["district"], "left")
+
+
 def entity_diagnosis(spark: SparkSession, folder: str) -> DataFrame:
     texts = _texts(spark, folder).select(F.col("property_address").alias("text"))
     truth = texts.withColumn("spans", without_empty(without_overlaps(label_spans(F.col("text"), DEFAULT_RULES))))
@@ -222,7 +268,7 @@ def bio_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     mean_median_by_area, rolling_3y_window, sales_of_years, sales_between_dates, weighted_index, mean_difference_trend, bootstrap_trend, class_crosstab, class_crosstab_shares, pivot_prices, describe_prices, region_shares, missing_by_class,
-    first_last_ratio, lag_diff_monthly, months_gap_change, top_customers, bottom_customers, balance_concentration, winsorised, large_titles, class_report, rule_performance, entity_prf, entity_prf_pooled, entity_errors, entity_diagnosis, bio_round_trip,
+    first_last_ratio, lag_diff_monthly, months_gap_change, top_customers, bottom_customers, balance_concentration, winsorised, large_titles, class_report, rule_performance, truth_beside_prediction, entity_error_texts, weighted_index_lad, median_fills, merged_results, entity_prf, entity_prf_pooled, entity_errors, entity_diagnosis, bio_round_trip,
 )} | {f"summarised_stats_{name}{end}": summarised_stats(name, most) for name in ("multi", "multi_lad", "region_class", "country") for end, most in (("", None), ("_below_100", 100))}
 
 _RECORDS = "records AS (SELECT * FROM ocod QUALIFY row_number() OVER (PARTITION BY ocod_id ORDER BY loaded_at DESC) = 1)"
@@ -231,10 +277,10 @@ _ORDERS = """homes AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS
 prices AS (SELECT snapshot_date, msoa11cd, floor(CAST(sum(cents) AS DOUBLE) / count(cents)) AS price_mean, floor(median(cents)) AS price_median FROM homes GROUP BY ALL),
 dwellings AS (SELECT CAST(c_nationkey AS VARCHAR) AS msoa11cd, count(*) AS dwellings FROM customer GROUP BY ALL)"""
 _MONTHLY = f"WITH {_ORDERS}, monthly AS (SELECT segment, snapshot_date, CAST(sum(cents) AS BIGINT) AS value FROM homes GROUP BY ALL)"
-_JUDGED = f"""WITH {_RECORDS}, judged AS (
-  SELECT class AS truth, CASE WHEN regexp_matches(property_address, '(?i)^(?:land|site)') THEN 'land' WHEN regexp_matches(property_address, '(?i)airspace') THEN 'airspace' WHEN regexp_matches(property_address, '(?i)^(?:parking|garage)') THEN 'carpark' ELSE 'residential' END AS guess,
+_JUDGED = f"""WITH {_RECORDS}, texts AS (SELECT upper(trim(title_number)) AS title_number, max(property_address) AS text FROM titles WHERE trim(title_number) <> '' GROUP BY ALL), judged AS (
+  SELECT coalesce(lower(trim(class)), 'unknown') AS truth, CASE WHEN regexp_matches(text, '(?i)^(?:land|site)') THEN 'land' WHEN regexp_matches(text, '(?i)airspace') THEN 'airspace' WHEN regexp_matches(text, '(?i)^(?:parking|garage)') THEN 'carpark' ELSE 'residential' END AS guess,
     CASE WHEN unit_id IS NOT NULL THEN 'unit' ELSE 'no unit' END AS matched_rule
-  FROM records WHERE class IN ('airspace', 'business', 'carpark', 'land', 'residential')
+  FROM records r JOIN texts t ON t.title_number = upper(trim(r.title_number))
 )"""
 _SPANS = f"""WITH {_RECORDS}, rows AS (SELECT * FROM records WHERE property_address IS NOT NULL),
 street AS (SELECT ocod_id, strpos(property_address, street_name) AS s, strpos(property_address, street_name) + length(street_name) AS e, 'street_name' AS label FROM rows WHERE street_name IS NOT NULL),
@@ -261,7 +307,7 @@ _IN_CLASSES = "class IN (" + ", ".join(f"'{c}'" for c in CLASSES) + ")"
 
 ORACLE: dict[str, str] = {
     "mean_median_by_area": f"WITH {_SALES} SELECT msoa11cd, CAST(sum(price) AS BIGINT) AS price_sum, CAST(median(price) * 2 AS BIGINT) AS median_twice, count(price) AS n FROM homes GROUP BY msoa11cd",
-    "rolling_3y_window": f"""WITH {_SALES}, months AS (SELECT DISTINCT CAST(date_trunc('month', date_of_transfer) AS DATE) AS d FROM sales WHERE date_of_transfer >= DATE '2029-01-01')
+    "rolling_3y_window": f"""WITH {_SALES}, months AS (SELECT DISTINCT CAST(date_trunc('month', date_of_transfer) AS DATE) AS d FROM sales WHERE date_trunc('month', date_of_transfer) >= (SELECT date_trunc('month', min(date_of_transfer)) + INTERVAL 3 YEAR FROM sales))
 SELECT d AS snapshot_date, msoa11cd, CAST(sum(price) AS BIGINT) AS price_sum, CAST(median(price) * 2 AS BIGINT) AS median_twice, count(price) AS n
 FROM months JOIN homes ON date_of_transfer BETWEEN d - INTERVAL 3 YEAR AND d WHERE price IS NOT NULL GROUP BY ALL""",
     "sales_of_years": f"WITH {_SALES} SELECT transfer_year, count(*) AS n, CAST(sum(price) AS BIGINT) AS price_sum FROM sales WHERE transfer_year IN (2028, 2030) GROUP BY ALL",
@@ -311,3 +357,24 @@ SELECT matched_rule, CAST(sum(n_a) AS BIGINT) AS n, round(sum(tp) / sum(n_a), 9)
     "summarised_stats_country": f"WITH {_RECORDS} SELECT DATE '2031-01-01' AS snapshot_date, country_incorporated, count(*) AS counts FROM records WHERE country_incorporated IS NOT NULL GROUP BY country_incorporated",
 }
 ORACLE |= {f"{k}_below_100": sql.replace("FROM records WHERE", "FROM records WHERE expansion_size < 100 AND") for k, sql in ORACLE.items() if k.startswith("summarised_stats_")}
+ORACLE |= {
+    "truth_beside_prediction": _JUDGED + " SELECT truth, guess, count(*) AS n FROM judged GROUP BY ALL",
+    "entity_error_texts": f"""{_SPANS}, errors AS (SELECT label, 'FN' AS error, ocod_id, s, e FROM (SELECT * FROM truth EXCEPT SELECT * FROM guess) UNION ALL SELECT label, 'FP', ocod_id, s, e FROM (SELECT * FROM guess EXCEPT SELECT * FROM truth)),
+counts AS (SELECT label, error, substr(property_address, s, e - s) AS text, count(*) AS n FROM errors JOIN records USING (ocod_id) GROUP BY ALL)
+SELECT label, error, text, n FROM counts QUALIFY row_number() OVER (PARTITION BY label, error ORDER BY n DESC, text) <= 10""",
+    "weighted_index_lad": f"""WITH {_RECORDS}, {_SALES}, prices AS (SELECT msoa11cd, floor(avg(price)) AS mean, floor(median(price)) AS med FROM homes GROUP BY msoa11cd),
+placed AS (SELECT region, {_value('msoa11cd')} AS m, {_value('lad11cd')} AS lad FROM records WHERE region IS NOT NULL), dwellings AS (SELECT msoa11cd AS m, count(*) AS dw FROM postcode_lookup WHERE msoa11cd IS NOT NULL GROUP BY ALL),
+cells AS (SELECT region, p.m, min(lad) AS lad, count(*) AS n, any_value(mean) AS mean, any_value(med) AS med, any_value(dw) AS dw FROM placed p JOIN prices ON prices.msoa11cd = p.m LEFT JOIN dwellings d ON d.m = p.m GROUP BY region, p.m),
+by_lad AS (SELECT region, lad, sum(mean * n) / sum(n) AS mean, sum(med * n) / sum(n) AS med FROM cells GROUP BY ALL),
+lost AS (SELECT p.region, p.lad, count(*) AS n, any_value(b.mean) AS mean, any_value(b.med) AS med FROM placed p LEFT JOIN by_lad b ON b.region = p.region AND b.lad = p.lad WHERE p.m IS NULL AND p.lad IS NOT NULL GROUP BY p.region, p.lad),
+whole AS (SELECT region, n, mean, med, coalesce(dw, 0) AS dw FROM cells UNION ALL SELECT region, n, mean, med, 0 FROM lost),
+sums AS (SELECT region, bool_and(mean IS NOT NULL) AS sure, sum(mean * n) / sum(n) AS om, sum(med * n) / sum(n) AS od, sum(mean * dw) / nullif(sum(dw), 0) AS dm, sum(med * dw) / nullif(sum(dw), 0) AS dd, sum(n) AS n, sum(dw) AS d FROM whole GROUP BY region)
+SELECT DATE '2031-01-01' AS date, region, CASE WHEN sure THEN CAST(trunc(om) AS BIGINT) END AS ocod_mean, CASE WHEN sure THEN CAST(trunc(od) AS BIGINT) END AS ocod_median, CASE WHEN sure THEN CAST(trunc(dm) AS BIGINT) END AS dwelling_mean, CASE WHEN sure THEN CAST(trunc(dd) AS BIGINT) END AS dwelling_median,
+  CAST(n AS BIGINT) AS ocod_total_counts, CAST(d AS BIGINT) AS total_dwelling_count FROM sums""",
+    "median_fills": f"""WITH {_RECORDS}, a AS (SELECT district, class, quantile_disc(price_paid, 0.5) AS v FROM records WHERE price_paid IS NOT NULL AND district IS NOT NULL AND class IS NOT NULL GROUP BY ALL HAVING count(*) >= 3),
+b AS (SELECT region, quantile_disc(price_paid, 0.5) AS v FROM records WHERE price_paid IS NOT NULL AND region IS NOT NULL GROUP BY ALL HAVING count(*) >= 3)
+SELECT ocod_id, coalesce(price_paid, a.v, b.v) AS price_paid_filled, price_paid IS NULL AND coalesce(a.v, b.v) IS NOT NULL AS price_paid_is_filled, CASE WHEN price_paid IS NOT NULL THEN NULL WHEN a.v IS NOT NULL THEN 'district and class' WHEN b.v IS NOT NULL THEN 'region' END AS price_paid_fill_level
+FROM records r LEFT JOIN a ON a.district = r.district AND a.class = r.class LEFT JOIN b ON b.region = r.region""",
+    "merged_results": f"""WITH {_RECORDS}, c AS (SELECT district, count(*) AS n_records FROM records WHERE district IS NOT NULL GROUP BY ALL), s AS (SELECT district, CAST(sum(price) AS BIGINT) AS price_sum FROM (SELECT DISTINCT * FROM price_paid_transactions) GROUP BY ALL)
+SELECT c.district, n_records, price_sum, lad11cd FROM c LEFT JOIN s ON s.district = c.district LEFT JOIN district_gazetteer g ON g.district = c.district""",
+}

@@ -144,7 +144,9 @@ def read_postcodes(spark: SparkSession, path: str, member: str | None = None, la
 # Positions of the business register's columns; entries that are no premises; words that end a house's name.
 REGISTER_POSITIONS = {4: "primary_and_secondary_description_code", 5: "primary_description_text", 7: "full_property_identifier", 9: "number_or_name", 10: "street", 14: "postcode"}
 NO_PREMISES_CODES, NO_PREMISES_TEXT = ("C0", "CP", "CP1", "CX", "MX"), "ADVERTISING"
-HOUSE_NAME = r"((?<!\S)(?:(?!\b(?:\)|\(|r\/o|floor|floors|pt|and|annexe|room|gf|south|north|east|west|at|on|in|of|adjoining|adj|basement|bsmt|fl|flr|flrs|wing)\b)[^\n\d])*? house\b)"
+HOUSE_STOPS = (r"\)", r"\(", r"r\/o", "floor", "floors", "pt", "and", "annexe", "room", "gf", "south", "north", "east", "west", "at", "on", "in", "of", "adjoining", "adj", "basement", "bsmt", "fl", "flr", "flrs", "wing")
+ONE_CENTRE = "WESTFIELD SHOPPING CENTRE"
+HOUSE_NAME = r"((?<!\S)(?:(?!\b(?:" + "|".join(HOUSE_STOPS) + r")\b)[^\n\d])*? house\b)"
 
 
 def read_businesses(spark: SparkSession, path: str) -> DataFrame:
@@ -166,7 +168,7 @@ def businesses_located(raw: DataFrame, lookup: DataFrame, keep: tuple[str, ...]
     kept = raw.where(F.coalesce(~code.isin(*NO_PREMISES_CODES), F.lit(True)) & F.coalesce(~text.contains(NO_PREMISES_TEXT), F.lit(True)))
     keyed = kept.withColumns({"postcode2": compact(F.col("postcode")), "street_name2": street_key(F.lower("street"))}).join(lookup, "postcode2")
     number = clean_street_number(F.col("number_or_name"))
-    number = F.when(~F.coalesce(F.col("full_property_identifier").contains("WESTFIELD SHOPPING CENTRE"), F.lit(False)) & ~F.coalesce(number.rlike(r"-\d+-"), F.lit(False)), number)
+    number = F.when(~F.coalesce(F.col("full_property_identifier").contains(ONE_CENTRE), F.lit(False)) & ~F.coalesce(number.rlike(r"-\d+-"), F.lit(False)), number)
     named = F.nullif(F.regexp_extract(F.lower("number_or_name"), HOUSE_NAME, 1), F.lit(""))
     return keyed.select(*keep, "street_name2", number.alias("street_number"), named.alias("building_name"), "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
 
