@@ -14,6 +14,7 @@ from deedloom.operators.geo import add_areas, fill_by_gazetteers, forward_fill_i
 from deedloom.operators.labelling import Labeller, RuleLabeller, label_entities
 from deedloom.operators.match import add_existence_flags
 from deedloom.plans.session import cut
+from deedloom.plans.sizes import hot_keys, salted_left_join
 
 # The columns of the result, in order.
 OUTPUT = (
@@ -31,11 +32,14 @@ def with_datapoint_id(titles: DataFrame) -> DataFrame:
 def parse_titles(titles: DataFrame, make: Callable[[], Labeller] = RuleLabeller) -> DataFrame:
     """One row for each address in a title's text, with the title's columns; titles without an address vanish.
 
-    Texts are labelled in lower case, as the rules expect; each title's row goes to Python once.
+    Texts are labelled in lower case, as the rules expect; each distinct text goes to Python once, however many titles and
+    snapshots have it, and is joined back in pieces where a good part of them do.
     """
-    texts = titles.select("datapoint_id", F.lower("property_address").alias("_text"))
-    parsed = addresses_of(label_entities(texts, "datapoint_id", "_text", make))
-    return parsed.join(titles, "datapoint_id")
+    keyed = cut(titles.withColumn("_text_id", F.unhex(F.md5(F.lower("property_address")))))
+    texts = keyed.where(F.col("_text_id").isNotNull()).groupBy("_text_id").agg(F.min(F.lower("property_address")).alias("_text"))
+    # Titles and labelled texts are read several times below, so both are written down once.
+    parsed = cut(addresses_of(label_entities(texts.repartition(2 * titles.sparkSession.sparkContext.defaultParallelism, "_text_id"), "_text_id", "_text", make), "_text_id"))
+    return salted_left_join(keyed, parsed, "_text_id", F.col("datapoint_id"), hot_keys(keyed.select("_text_id"), "_text_id")).where(F.col("leaf_pos").isNotNull()).drop("_text_id")
 
 
 def run_pipeline(
@@ -53,7 +57,6 @@ def run_pipeline(
     scoped = titles if dated else titles.withColumn("snapshot_date", F.lit("1970-01-01").cast("date"))
     # Keys of groups within one snapshot; the title itself is put back at the end.
     keyed = with_datapoint_id(scoped).withColumn("_title", F.col("title_number")).withColumn("title_number", F.concat_ws("|", F.col("snapshot_date").cast("string"), F.col("title_number")))
-    # Labelling is the dear part and is read by several stages below, so it is written down once.
     located = add_areas(cut(parse_titles(keyed, make)), lookup)
     order = ["datapoint_id", "leaf_pos"]
     filled = forward_fill_in_title(fill_by_gazetteers(located, buildings, districts, streets), order)
