@@ -32,12 +32,12 @@ class BoostedTrees:
     """
 
     classes: int
-    rounds: int = 50
+    rounds: int = 40
     depth: int = 4
     rate: float = 0.2
     bins: int = 48
     smooth: float = 1.0
-    enough: float = 0.0003
+    enough: float = 0.0005
     edges: list[np.ndarray] = field(default_factory=list)
     trees: list[list[Tree]] = field(default_factory=list)
     start: np.ndarray | None = None
