@@ -20,23 +20,20 @@ ROUNDS = 40
 PARTS = ("unit", "number", "building", "street", "street_type", "town", "district", "postcode")
 
 
-def _agreed(fields: list[str]) -> Column:
-    """Whether the records of a group give no two values for any of the fields."""
-    return F.forall(F.array(*[F.coalesce(F.min(c) == F.max(c), F.lit(True)) for c in fields]), lambda same: same)
-
-
 def title_addresses(records: DataFrame) -> DataFrame:
     """One row for each title whose records name one place: title_number and the PARTS, null where not given.
 
-    Titles that pack several values, name several units, or are of land, parking or airspace near a place have none. What
-    one record of a title lacks another gives; where their streets, numbers, buildings or towns differ, all parts are those of
-    one record (the greatest). Records are combined by title before the shuffle.
+    Titles that pack several values, name several units, or are of land, parking or airspace near a place have none. All parts
+    are those of one record, the one that gives the most of them (ties by the greatest parts). Records are combined by title
+    before the shuffle.
     """
     fields = ["unit_id", "street_number", "building_name", "street_name", "postcode", "city", "district", "property_address"]
-    cells = [F.when(_agreed(fields), F.max(c)).otherwise(F.max(F.struct(*fields))[c]).alias(c) for c in fields]
+    # The record with a street and the most of the other parts, ties by the parts themselves: its parts go together.
+    given = sum((F.col(c).isNotNull().cast("int") for c in fields[1:]), F.col("street_name").isNotNull().cast("int") * len(fields))
+    cells = [F.max(F.struct(given.alias("_given"), *fields)).alias("_one")]
     units = [F.min(F.coalesce("unit_id", F.lit(""))).alias("_least"), F.max(F.coalesce("unit_id", F.lit(""))).alias("_most")]
     titles = records.where(F.col("title_number").isNotNull()).groupBy("title_number").agg(*cells, *units)
-    one = titles.where((F.col("_least") == F.col("_most")) & ~F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False)) & packed_kind(F.col("property_address")).isNull())
+    one = titles.select("title_number", "_least", "_most", "_one.*").where((F.col("_least") == F.col("_most")) & ~F.coalesce(F.col("property_address").rlike(NEAR), F.lit(False)) & packed_kind(F.col("property_address")).isNull())
     street = street_parts(F.col("street_name"))
     return one.select(
         "title_number", F.nullif(F.regexp_replace(F.lower("unit_id"), r"[^\p{L}\p{N}]", ""), F.lit("")).alias("unit"),
