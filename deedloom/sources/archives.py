@@ -162,13 +162,14 @@ def businesses_located(raw: DataFrame, lookup: DataFrame, keep: tuple[str, ...]
     """(kept columns, street_name2, street_number, building_name, area codes) of entries that are premises and whose postcode is known.
 
     Entries with a null code or description are kept. Numbers in the middle of dashes are no house numbers, nor are
-    those of the one named shopping centre.
+    those of the one named shopping centre (by the full identifier, if there is one).
     """
     code, text = F.col("primary_and_secondary_description_code"), F.col("primary_description_text")
     kept = raw.where(F.coalesce(~code.isin(*NO_PREMISES_CODES), F.lit(True)) & F.coalesce(~text.contains(NO_PREMISES_TEXT), F.lit(True)))
     keyed = kept.withColumns({"postcode2": compact(F.col("postcode")), "street_name2": street_key(F.lower("street"))}).join(lookup, "postcode2")
     number = clean_street_number(F.col("number_or_name"))
-    number = F.when(~F.coalesce(F.col("full_property_identifier").contains(ONE_CENTRE), F.lit(False)) & ~F.coalesce(number.rlike(r"-\d+-"), F.lit(False)), number)
+    identifier = F.col("full_property_identifier") if "full_property_identifier" in raw.columns else F.lit(None).cast("string")
+    number = F.when(~F.coalesce(identifier.contains(ONE_CENTRE), F.lit(False)) & ~F.coalesce(number.rlike(r"-\d+-"), F.lit(False)), number)
     named = F.nullif(F.regexp_extract(F.lower("number_or_name"), HOUSE_NAME, 1), F.lit(""))
     return keyed.select(*keep, "street_name2", number.alias("street_number"), named.alias("building_name"), "oa11cd", "lsoa11cd", "msoa11cd", "lad11cd")
 
