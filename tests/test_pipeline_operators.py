@@ -437,3 +437,44 @@ def test_spread_looks_at_operators_not_names(spark, tmp_path):
     assert spread(spark.read.parquet(str(tmp_path / "Sort"))).rdd.getNumPartitions() >= 2
     grouped = spark.range(8).groupBy("id").count()
     assert spread(grouped) is grouped
+
+
+def test_evaluation_joins_and_error_texts(spark):
+    """Null keys have no row, repeated ones pair, clashing columns get suffixes; the most frequent texts come first, ties by text."""
+    from deedloom.operators.analytics import merged
+    from deedloom.operators.quality import error_texts, truth_and_prediction
+
+    truth = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), (None, "x", 3), ("c", None, 4)], "k string, class string, only int")
+    guess = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y"), ("c", "z")], "k string, class string")
+    got = truth_and_prediction(truth, guess, "k")
+    assert got.columns == ["k", "class_truth", "only", "class_predicted"] and sorted(map(tuple, got.collect()), key=str) == [("a", "x", 1, "x"), ("a", "y", 2, "x"), ("c", None, 4, "z")]
+    assert truth_and_prediction(truth.limit(0), guess, "k").collect() == []
+    errors = spark.createDataFrame([(i, 0, 2, "l", "FN") for i in range(3)] + [(0, 3, 5, "l", "FN"), (9, 0, 1, "l", "FP")], "datapoint_id int, start int, end int, label string, error string")
+    texts = spark.createDataFrame([(0, "ab cd"), (1, "ab"), (2, "zz"), (9, None)], "datapoint_id int, text string")
+    assert [(r.error, r.text, r.n) for r in error_texts(errors, texts, 2).orderBy("error", F.desc("n"), "text").collect()] == [("FN", "ab", 2), ("FN", "cd", 1), ("FP", None, 1)]
+    sides = [spark.createDataFrame(rows, f"k int, v{i} int") for i, rows in enumerate(([(1, 1), (2, 2), (None, 3)], [(1, 10)], [(2, 20)]))]
+    assert sorted(map(tuple, merged(sides, ["k"], "left").collect()), key=str) == [(1, 1, 10, None), (2, 2, None, 20), (None, 3, None, None)]
+
+
+def test_zipped_csv_round_trip(spark, tmp_path):
+    """What is written comes back: quotes, delimiters and line ends in values, nulls, long texts; an empty table writes no archive."""
+    from deedloom.sources.archives import read_dwellings, with_file_metadata
+    from deedloom.sources.sinks import write_zipped_csv
+
+    rows = [("a,b", 'say "x"'), ("two\nlines", None), ("é" * 200_000, "z")]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    assert write_zipped_csv(df, str(tmp_path / "z"), name="OCOD_FULL_2031_02") == 1
+    back = read_zipped_csv(spark, str(tmp_path / "z" / "*.zip"))
+    assert sorted(((r.a, r.b) for r in back.collect()), key=str) == sorted(rows, key=str)
+    assert {(r.filename.rsplit("-", 1)[0], str(r.snapshot_date)) for r in with_file_metadata(back, "file").collect()} == {("OCOD_FULL_2031_02", "2031-02-01")}
+    assert write_zipped_csv(df.limit(0), str(tmp_path / "none")) == 0
+    (tmp_path / "d.csv").write_text("msoa11cd,dwellings\nm1,3\nm1,4\n,9\nm2,many\n")
+    assert [tuple(r) for r in read_dwellings(spark, str(tmp_path / "d.csv")).collect()] == [("m1", 7)]
+
+
+def test_class_by_number_and_relabelled(spark):
+    from deedloom.operators.classify import class_by_number, relabelled
+
+    df = spark.createDataFrame([("unknown", "1"), ("unknown", None), ("land", "2"), (None, "3")], "class string, street_number string")
+    got = relabelled(class_by_number(df), "class", {"residential": "domestic"})
+    assert [r["class"] for r in got.collect()] == ["domestic", "unknown", "land", None]
